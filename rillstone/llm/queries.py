@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, secrets, token_counts
+from . import decontaminate, quality_rules, secrets, token_counts
 from .common import table
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -23,6 +23,10 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"), vocabulary_path())
 
 
+def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -33,6 +37,7 @@ def op10_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op6_token_counts": op6_token_counts,
+    "op7_quality_rules": op7_quality_rules,
     "op9_decontamination": op9_decontamination,
     "op10_secret_scans": op10_secret_scans,
 }
