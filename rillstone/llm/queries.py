@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, quality_rules, secrets, token_counts
+from . import decontaminate, mixing, quality_rules, secrets, token_counts, url_filter
 from .common import table
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -19,6 +19,10 @@ def vocabulary_path(name: str = VOCABULARY) -> str:
     return public_tokenizers.path(name)
 
 
+def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents"))
+
+
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"), vocabulary_path())
 
@@ -27,6 +31,11 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    listed = spark.createDataFrame([(u,) for u in url_filter.LISTED], "url string")
+    return url_filter.judge(table(spark, sf_dir, "pages"), listed)
+
+
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -36,8 +45,10 @@ def op10_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op5_mixing": op5_mixing,
     "op6_token_counts": op6_token_counts,
     "op7_quality_rules": op7_quality_rules,
+    "op8_url_filter": op8_url_filter,
     "op9_decontamination": op9_decontamination,
     "op10_secret_scans": op10_secret_scans,
 }
@@ -96,4 +107,61 @@ SELECT doc_id, CAST(coalesce(n_assign, 0) AS BIGINT) AS n_assign, CAST(coalesce(
 FROM t LEFT JOIN g USING (doc_id)
 """
 
-ORACLES = {"op9_decontamination": OP9_SQL, "op10_secret_scans": OP10_SQL}
+OP5_SQL = r"""
+WITH d AS (
+  SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size,
+    -ln((CAST('0x' || substr(md5(doc_id || ':mix-1'), 1, 13) AS BIGINT) + 0.5::DOUBLE) / 4503599627370496::DOUBLE)
+      / (4 - 3 * (length(regexp_replace(coalesce(text, ''), '[^#*$%&|<>]+', '', 'g')) / greatest(length(coalesce(text, '')), 1))) AS key
+  FROM documents
+),
+s AS (
+  SELECT source, CAST(sum(size) AS BIGINT) AS source_size, [1, 2, 3][(row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1] AS w FROM d GROUP BY source
+),
+o AS (
+  SELECT *, sum(source_size) OVER () AS total, sum(w) OVER () AS all_w, coalesce(sum(source_size) OVER p, 0) AS size_before, coalesce(sum(w) OVER p, 0) AS w_before
+  FROM s WINDOW p AS (ORDER BY source_size / w, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+),
+c AS (SELECT *, w * (total - 3 * size_before) > 3 * source_size * (all_w - w_before) AS capped FROM o),
+g AS (
+  SELECT source, source_size, CASE WHEN capped THEN CAST(3 * source_size AS DOUBLE)
+    ELSE CAST(w * (total - 3 * coalesce(sum(source_size) FILTER (capped) OVER (), 0)) AS DOUBLE) / CAST(sum(w) FILTER (NOT capped) OVER () AS DOUBLE) END AS target
+  FROM c
+),
+r AS (
+  SELECT d.*, source_size, target, coalesce(floor(target / nullif(CAST(source_size AS DOUBLE), 0)), 0) AS epochs,
+    coalesce(sum(size) OVER (PARTITION BY d.source ORDER BY key, doc_id, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS ahead
+  FROM d JOIN g ON d.source IS NOT DISTINCT FROM g.source
+)
+SELECT doc_id, size, source_size, target,
+  CAST(size * (epochs + CASE WHEN 2 * ahead + size <= 2 * (target - epochs * source_size) THEN 1 ELSE 0 END) AS BIGINT) AS taken, source
+FROM r
+"""
+
+OP8_SQL = rf"""
+WITH u AS (SELECT page_id, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages),
+h AS (SELECT page_id, rest, regexp_extract(rest, '^([^/?#]*)', 1) AS authority FROM u),
+p AS (
+  SELECT page_id, translate(authority, '{_UPPER}', '{_LOWER}') AS host, regexp_extract(substr(rest, length(authority) + 1), '^([^?#]*)', 1) AS path
+  FROM h
+),
+rules(verdict, rule, h, p) AS (VALUES {", ".join(f"('{v}', '{h}{q}', '{h}', '{q}')" for v, h, q in url_filter.RULES)}),
+fits AS (
+  SELECT page_id, arg_max(rule, length(rule)) AS rule, arg_max(verdict, length(rule)) AS verdict
+  FROM p JOIN rules r ON (host = r.h OR ends_with(host, '.' || r.h)) AND starts_with(path, r.p) GROUP BY page_id
+),
+entries(e) AS (VALUES {", ".join(f"('{u}')" for u in url_filter.LISTED)}),
+covered AS (
+  SELECT page_id, max(e) AS listed FROM p JOIN entries
+  ON rtrim(regexp_replace(regexp_replace(host, '^.*@', ''), ':[0-9]*$', ''), '.') || '/' = e OR ends_with(rtrim(regexp_replace(regexp_replace(host, '^.*@', ''), ':[0-9]*$', ''), '.') || '/', '.' || e)
+  GROUP BY page_id
+)
+SELECT page_id, host, path, rule, coalesce(verdict, CASE WHEN listed IS NOT NULL THEN 'block' ELSE 'allow' END) AS verdict, listed
+FROM p LEFT JOIN fits USING (page_id) LEFT JOIN covered USING (page_id)
+"""
+
+ORACLES = {
+    "op5_mixing": OP5_SQL,
+    "op8_url_filter": OP8_SQL,
+    "op9_decontamination": OP9_SQL,
+    "op10_secret_scans": OP10_SQL,
+}
