@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, mixing, quality_rules, secrets, token_counts, url_filter
+from . import decontaminate, language_id, mixing, quality_rules, secrets, token_counts, url_filter, warc
 from .common import table
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -19,6 +19,14 @@ def vocabulary_path(name: str = VOCABULARY) -> str:
     return public_tokenizers.path(name)
 
 
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.identify(table(spark, sf_dir, "documents"))
+
+
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf_dir, "pages"))
+
+
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
@@ -45,6 +53,8 @@ def op10_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_language_id": op2_language_id,
+    "op4_warc": op4_warc,
     "op5_mixing": op5_mixing,
     "op6_token_counts": op6_token_counts,
     "op7_quality_rules": op7_quality_rules,
@@ -159,7 +169,19 @@ SELECT page_id, host, path, rule, coalesce(verdict, CASE WHEN listed IS NOT NULL
 FROM p LEFT JOIN fits USING (page_id) LEFT JOIN covered USING (page_id)
 """
 
+OP4_SQL = """
+WITH p AS (SELECT page_id, coalesce(url, '') AS url, coalesce(html, '') AS x FROM pages),
+d AS (SELECT page_id, trim(regexp_replace(url, '\\s+', ' ', 'g')) AS url, strlen(x) AS n, sha1(x) AS hex, max(page_id) OVER (PARTITION BY sha1(x)) AS last FROM p),
+b AS (SELECT *, list_transform(range(0, 40), lambda i: instr('0123456789abcdef', substr(hex, CAST(i AS BIGINT) + 1, 1)) - 1) AS h FROM d)
+SELECT page_id, CAST(n AS BIGINT) AS payload_bytes,
+  array_to_string(list_transform(range(0, 32), lambda k: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST(
+    list_sum(list_transform(range(0, 5), lambda j: ((h[(5 * k + j) // 4 + 1] >> (3 - (5 * k + j) % 4)) & 1) << (4 - j))) AS BIGINT) + 1, 1)), '') AS payload_digest,
+  CASE WHEN page_id = last THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN page_id <> last THEN last END AS refers_to, url
+FROM b
+"""
+
 ORACLES = {
+    "op4_warc": OP4_SQL,
     "op5_mixing": OP5_SQL,
     "op8_url_filter": OP8_SQL,
     "op9_decontamination": OP9_SQL,
