@@ -15,6 +15,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rillstone.shipping import ship
+
 #: Space, tab, line feed, vertical tab, form feed, carriage return.
 SPACES = " \t\n\x0b\x0c\r"
 #: The same characters as a Java character class.
@@ -77,7 +79,8 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
 
 
 def arrow_rows(spark: SparkSession, rows: int = ARROW_ROWS) -> None:
-    """Bound the batches handed to Python; long texts make batches of the default size too large."""
+    """Before Python runs on executors: they get this package, and batches of bounded size, as long texts make those of the default too large."""
+    ship(spark)
     if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) != rows:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", rows)
 
