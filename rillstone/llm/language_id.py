@@ -139,12 +139,18 @@ def ftrl(rows: list[tuple[np.ndarray, np.ndarray, int]], n_langs: int, epochs: i
 
 
 def fit_temperature(logits: np.ndarray, labels: np.ndarray) -> float:
-    """The temperature from 1/20 to 20 of the least mean log loss, by golden-section search."""
+    """The temperature from 1/20 to 20 of the least mean log loss, by golden-section search.
+
+    As in Platt's scaling, a label counts as (n + 1) / (n + 2) sure, so that
+    rows without an error don't call for certainty.
+    """
+    doubt = 1 / (len(labels) + 2)
 
     def loss(log_t: float) -> float:
         x = logits / math.exp(log_t)
         x = x - x.max(axis=1, keepdims=True)
-        return float((np.log(np.exp(x).sum(axis=1)) - x[np.arange(len(labels)), labels]).mean())
+        own = (1 - doubt) * x[np.arange(len(labels)), labels] + doubt * x.mean(axis=1)
+        return float((np.log(np.exp(x).sum(axis=1)) - own).mean())
 
     low, high = math.log(0.05), math.log(20)
     ratio = (math.sqrt(5) - 1) / 2

@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, language_id, mixing, quality_rules, secrets, token_counts, url_filter, warc
+from . import decontaminate, language_id, mixing, near_dedup, quality_rules, secrets, token_counts, url_filter, warc
 from .common import table
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -19,6 +19,10 @@ def vocabulary_path(name: str = VOCABULARY) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(table(spark, sf_dir, "documents"))
 
@@ -53,6 +57,7 @@ def op10_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_near_dedup": op1_near_dedup,
     "op2_language_id": op2_language_id,
     "op4_warc": op4_warc,
     "op5_mixing": op5_mixing,
@@ -180,7 +185,24 @@ SELECT page_id, CAST(n AS BIGINT) AS payload_bytes,
 FROM b
 """
 
+OP1_SQL = rf"""
+WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS MATERIALIZED (
+  SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS x FROM (SELECT doc_id, w, unnest(range(1, greatest(1, len(w) - 4) + 1)) AS i FROM d WHERE len(w) > 0)
+),
+n AS MATERIALIZED (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+e AS MATERIALIZED (
+  SELECT i.a, i.b FROM (SELECT p.doc_id AS a, q.doc_id AS b, count(*) AS k FROM s p JOIN s q ON p.x = q.x AND p.doc_id <> q.doc_id GROUP BY ALL) i
+  JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b WHERE 100 * k >= 75 * (na.n + nb.n - k)
+),
+r AS (SELECT doc_id AS node, doc_id AS seen FROM n UNION SELECT r.node, e.b FROM r JOIN e ON r.seen = e.a),
+c AS (SELECT node, min(seen) AS component FROM r GROUP BY node)
+SELECT doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, coalesce(component, doc_id) AS component_id, coalesce(component, doc_id) = doc_id AS kept
+FROM d LEFT JOIN n USING (doc_id) LEFT JOIN c ON node = doc_id
+"""
+
 ORACLES = {
+    "op1_near_dedup": OP1_SQL,
     "op4_warc": OP4_SQL,
     "op5_mixing": OP5_SQL,
     "op8_url_filter": OP8_SQL,
