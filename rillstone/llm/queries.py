@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, language_id, mixing, near_dedup, quality_rules, secrets, token_counts, url_filter, warc
+from . import decontaminate, language_id, mixing, near_dedup, personal_data, quality_rules, secrets, token_counts, url_filter, warc
 from .common import table
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -27,6 +27,10 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(table(spark, sf_dir, "documents"))
 
 
+def op3_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal_data.personal_data(table(spark, sf_dir, "documents"))
+
+
 def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(table(spark, sf_dir, "pages"))
 
@@ -59,6 +63,7 @@ def op10_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_near_dedup": op1_near_dedup,
     "op2_language_id": op2_language_id,
+    "op3_personal_data": op3_personal_data,
     "op4_warc": op4_warc,
     "op5_mixing": op5_mixing,
     "op6_token_counts": op6_token_counts,
