@@ -116,3 +116,14 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_epochs: int = M
     chosen = F.when(2 * F.col("ahead") + F.col("size") <= 2 * F.col("left"), 1).otherwise(0)
     out = placed.where("place <> 'part'").withColumn("more", F.when(F.col("place") == "in", 1).otherwise(0)).drop("place").unionByName(part.withColumn("more", chosen).drop("place", "ahead"))
     return out.select("doc_id", "size", "source_size", "target", (F.col("size") * (F.col("epochs") + F.col("more"))).cast("long").alias("taken"), "source")
+
+
+def mixture(docs: DataFrame, **options) -> DataFrame:
+    """The documents that the mix takes, with all their columns and size, source_size, target, taken and repeats.
+
+    doc_id must be unique. Texts are shuffled once, by doc_id.
+    """
+    plan = materialize(mix(docs, **options).drop("source"), "mix")
+    added = ("size", "source_size", "target", "taken", "repeats")
+    chosen = plan.where("taken > 0").withColumn("repeats", (F.col("taken") / F.col("size")).cast("int"))
+    return docs.drop(*added).join(chosen.hint("shuffle_hash"), "doc_id")

@@ -313,6 +313,12 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 
 def keep(docs: DataFrame) -> DataFrame:
-    """The documents, with all their columns, that near_duplicates() keeps: one of each component."""
-    out = materialize(near_duplicates(docs).where("not kept").select("doc_id").distinct(), "dropped")
-    return restrict(docs, out, "doc_id", False)
+    """The documents, with all their columns, that near_duplicates() keeps: one of each component, and one of rows that repeat a doc_id."""
+    found = materialize(near_duplicates(docs).select("doc_id", "kept"), "near-duplicates")
+    out = materialize(found.where("not kept").select("doc_id").distinct(), "dropped")
+    left = restrict(docs, out, "doc_id", False)
+    repeated = found.where("kept").groupBy("doc_id").count().where("count > 1").select("doc_id")
+    repeated = materialize(repeated, "repeated")
+    if not repeated.limit(1).count():
+        return left
+    return restrict(left, repeated, "doc_id", False).unionByName(restrict(left, repeated, "doc_id", True).dropDuplicates(["doc_id"]))
