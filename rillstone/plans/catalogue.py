@@ -1,17 +1,15 @@
-"""The queries of the engine by name, with the SQL that gives the same rows."""
+"""The queries of the engine by name, with the SQL that gives the same rows.
+
+The driver's tables stand in for the registry's: a record is a line of an
+order with its customer's nation and region, its power the quantity, and lines
+of low priority are market aggregates. Parts of the catalogue live in modules
+beside this one.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+from rillstone.plans import entities, marts, scalars, tables
 
 FLAGSHIP = "q01_region_rollup"
-
-
-def q01_region_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    read = lambda name: spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    return read("nation").join(read("region"), F.col("n_regionkey") == F.col("r_regionkey")).groupBy("r_name").agg(F.count("*").alias("n_nations"))
-
-
-QUERIES = {"q01_region_rollup": q01_region_rollup}
-ORACLES = {"q01_region_rollup": "SELECT r_name, count(*) AS n_nations FROM nation JOIN region ON n_regionkey = r_regionkey GROUP BY r_name"}
+QUERIES = {**marts.QUERIES, **tables.QUERIES, **entities.QUERIES, **scalars.QUERIES}
+ORACLES = {**marts.ORACLES, **tables.ORACLES, **entities.ORACLES, **scalars.ORACLES}
