@@ -30,6 +30,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -145,54 +146,62 @@ def _orders(turn: int):
     return run
 
 
-NEAR_ROWS = "a long, b long, depth int, crowded boolean, tree int, key binary, n long"
+NEAR_ROWS = "a long, b long, depth int, crowded boolean, tree int, key binary, n long, part int"
 
 
-def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs of sorted rows that stand near and agree on MIN_DEPTH minima, and the partition's outer rows (b null).
+def _neighbours(across: bool):
+    """A function that gives pairs of sorted rows that stand near and agree on MIN_DEPTH minima, and the partition's outer rows (b null).
 
-    crowded tells that the region goes on beyond the neighbours looked at.
+    crowded tells that the region goes on beyond the neighbours looked at. With
+    across, the rows are outer rows of all partitions, in order; pairs within
+    a partition are left out, as they were found there.
     """
     names = [f.split()[0] for f in NEAR_ROWS.split(", ")]
-    none = lambda n, kind: pa.nulls(n, kind)
 
-    def outer(tree, key, ids, n) -> pa.RecordBatch:
+    def outer(tree, key, ids, n, _) -> pa.RecordBatch:
         m = len(ids)
-        return pa.RecordBatch.from_arrays([pa.array(ids), none(m, pa.int64()), none(m, pa.int32()), none(m, pa.bool_()), pa.array(tree), _binary(key), pa.array(n)], names)
+        part = np.full(m, TaskContext.get().partitionId(), np.int32)
+        return pa.RecordBatch.from_arrays([pa.array(ids), pa.nulls(m, pa.int64()), pa.nulls(m, pa.int32()), pa.nulls(m, pa.bool_()), pa.array(tree), _binary(key), pa.array(n), pa.array(part)], names)
 
-    held, seen = None, 0
-    for batch in batches:
-        m = batch.num_rows
-        if not m:
-            continue
-        key = np.frombuffer(b"".join(x.as_py() for x in batch.column("key")), ">u2").reshape(m, MAX_DEPTH)
-        rows = [batch.column("tree").to_numpy(), key, batch.column("doc_id").to_numpy(), batch.column("n").to_numpy()]
-        if seen < WIDTH:
-            yield outer(*(x[: WIDTH - seen] for x in rows))
-        carried = 0
-        if held is not None:
-            carried = len(held[2])
-            rows = [np.concatenate([h, r]) for h, r in zip(held, rows, strict=True)]
-        tree, key, ids, n = rows
-        for step in range(1, WIDTH + 1):
-            if len(ids) <= step:
-                break
-            first = max(0, carried - step)  # pairs within the rows carried over were made before
-            same = (key[step:] == key[:-step]) & (tree[step:] == tree[:-step])[:, None]
-            depth = np.cumprod(same, axis=1, dtype=np.int32).sum(axis=1)
-            small, large = np.minimum(n[step:], n[:-step]), np.maximum(n[step:], n[:-step])
-            good = (depth >= MIN_DEPTH) & (100 * small >= PERCENT * large) & (ids[step:] != ids[:-step])
-            good[:first] = False
-            at = np.flatnonzero(good)
-            if len(at):
-                x, y = ids[:-step][at], ids[step:][at]
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, seen = None, 0
+        for batch in batches:
+            m = batch.num_rows
+            if not m:
+                continue
+            key = np.frombuffer(b"".join(x.as_py() for x in batch.column("key")), ">u2").reshape(m, MAX_DEPTH)
+            part = batch.column("part").to_numpy() if across else np.zeros(m, np.int32)
+            rows = [batch.column("tree").to_numpy(), key, batch.column("doc_id").to_numpy(), batch.column("n").to_numpy(), part]
+            if seen < WIDTH and not across:
+                yield outer(*(x[: WIDTH - seen] for x in rows))
+            carried = 0
+            if held is not None:
+                carried = len(held[2])
+                rows = [np.concatenate([h, r]) for h, r in zip(held, rows, strict=True)]
+            tree, key, ids, n, part = rows
+            for step in range(1, WIDTH + 1):
+                if len(ids) <= step:
+                    break
+                first = max(0, carried - step)  # pairs within the rows carried over were made before
+                same = (key[step:] == key[:-step]) & (tree[step:] == tree[:-step])[:, None]
+                depth = np.cumprod(same, axis=1, dtype=np.int32).sum(axis=1)
+                small, large = np.minimum(n[step:], n[:-step]), np.maximum(n[step:], n[:-step])
+                good = (depth >= MIN_DEPTH) & (100 * small >= PERCENT * large) & (ids[step:] != ids[:-step])
+                if across:
+                    good &= part[step:] != part[:-step]
+                good[:first] = False
+                at = np.flatnonzero(good)
                 k = len(at)
-                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y)), pa.array(depth[at].astype(np.int32)), pa.array(np.full(k, step == WIDTH)), none(k, pa.int32()), none(k, pa.binary()), none(k, pa.int64())], names)
-        held = [x[-WIDTH:] for x in rows]
-        seen += m
-    if held is not None and seen > WIDTH:
-        last = min(WIDTH, seen - WIDTH)  # the first rows were given already
-        yield outer(*(x[-last:] for x in held))
+                if k:
+                    x, y = ids[:-step][at], ids[step:][at]
+                    yield pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y)), pa.array(depth[at].astype(np.int32)), pa.array(np.full(k, step == WIDTH)), *(pa.nulls(k, z) for z in (pa.int32(), pa.binary(), pa.int64(), pa.int32()))], names)
+            held = [x[-WIDTH:] for x in rows]
+            seen += m
+        if held is not None and seen > WIDTH and not across:
+            last = min(WIDTH, seen - WIDTH)  # the first rows were given already
+            yield outer(*(x[-last:] for x in held))
+
+    return run
 
 
 def candidates(nodes: DataFrame, turn: int = 0) -> DataFrame:
@@ -206,10 +215,10 @@ def candidates(nodes: DataFrame, turn: int = 0) -> DataFrame:
     parts = max(1, min(int(spark.conf.get("spark.sql.shuffle.partitions")), n // ROWS_PER_PARTITION))
     rows = nodes.select("doc_id", "n_shingles", "signature").mapInArrow(_orders(turn), ORDER_ROWS)
     by = ("tree", "key", "doc_id")
-    near = materialize(rows.repartitionByRange(parts, *by).sortWithinPartitions(*by).mapInArrow(_neighbours, NEAR_ROWS), "near")
-    cut = near.where("b is null").select("tree", "key", F.col("a").alias("doc_id"), "n")
-    across = cut.repartition(1).sortWithinPartitions(*by).mapInArrow(_neighbours, NEAR_ROWS)
-    pairs = near.where("b is not null").unionByName(across.where("b is not null"))
+    near = materialize(rows.repartitionByRange(parts, *by).sortWithinPartitions(*by).mapInArrow(_neighbours(False), NEAR_ROWS), "near")
+    cut = near.where("b is null").select("tree", "key", F.col("a").alias("doc_id"), "n", "part")
+    across = cut.repartition(1).sortWithinPartitions(*by).mapInArrow(_neighbours(True), NEAR_ROWS)
+    pairs = near.where("b is not null").unionByName(across)
     votes = pairs.groupBy("a", "b").agg(F.count("*").alias("votes"), F.max("depth").alias("depth"), F.max("crowded").alias("crowded"))
     return materialize(votes, "candidates")
 
