@@ -48,27 +48,30 @@ def _letter_table() -> np.ndarray:
 
 
 def counts(text: str) -> np.ndarray | None:
-    """How often each column occurs in the whole text, of which the edge of a block counts as the edge of a word; null without a letter."""
+    """How often each column occurs in the whole text; null without a letter.
+
+    The last two characters of a block are carried into the next one, so that
+    blocks don't change the counts.
+    """
     table = _letter_table()
-    total = None
+    total, carry, lettered = np.zeros(FEATURES, np.int64), np.array([32], np.uint32), False
+    shift = np.uint32(32 - FEATURES.bit_length() + 1)
     for at in range(0, len(text), BLOCK):
         codes = np.frombuffer(text[at : at + BLOCK].lower().encode("utf-32-le", "surrogatepass"), np.uint32)
         letter = table[codes]
-        if not letter.any():
-            continue
-        codes = np.where(letter, codes, 32)
-        padded = np.empty(len(codes) + 2, np.uint32)
-        padded[0] = padded[-1] = 32
-        padded[1:-1] = codes
-        keep = np.ones(len(padded), bool)
-        keep[1:] = (padded[1:] != 32) | (padded[:-1] != 32)
-        c = padded[keep] * np.uint32(2654435761)
+        lettered = lettered or bool(letter.any())
+        ending = [32] if at + BLOCK >= len(text) else []
+        codes = np.concatenate([carry, np.where(letter, codes, 32), np.array(ending, np.uint32)]).astype(np.uint32)
+        keep = np.ones(len(codes), bool)
+        keep[1:] = (codes[1:] != 32) | (codes[:-1] != 32)
+        codes, m = codes[keep], len(carry)
+        c = codes * np.uint32(2654435761)
         two = (c[:-1] ^ (c[1:] >> np.uint32(7))) * np.uint32(2246822519)
         three = (two[:-1] ^ (c[2:] >> np.uint32(11))) * np.uint32(3266489917)
-        shift = np.uint32(32 - FEATURES.bit_length() + 1)
-        found = np.bincount(np.concatenate([c[1:-1] >> shift, two >> shift, three >> shift]), minlength=FEATURES)
-        total = found if total is None else total + found
-    return total
+        fresh = [c[m:][codes[m:] != 32], two[m - 1 :], three[max(0, m - 2) :]]
+        total += np.bincount(np.concatenate(fresh) >> shift, minlength=FEATURES)
+        carry = codes[-2:]
+    return total if lettered else None
 
 
 @dataclass
