@@ -27,6 +27,8 @@ WORD_REGEX = r"[^\x20\x09-\x0D]+"
 ARROW_ROWS = 500
 #: A set of ids is broadcast up to so many rows (24 bytes each, 48 MB hashed).
 BROADCAST_ROWS = 2_000_000
+#: Rows of a file of a table whose size is known.
+ROWS_PER_FILE = 500_000
 
 _written: list[tuple[SparkSession, str]] = []
 
@@ -70,9 +72,15 @@ def _clean() -> None:
             delete_path(*_written.pop())
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write df to the shared folder and read it back: lineage ends here, and the size is known from then on."""
+def materialize(df: DataFrame, name: str, rows: int | None = None) -> DataFrame:
+    """Write df to the shared folder and read it back: lineage ends here, and the size is known from then on.
+
+    rows, a number that df's rows are known not to exceed, makes as many files
+    as that needs; a small table isn't left in a file per task.
+    """
     spark = df.sparkSession
+    if rows is not None:
+        df = df.repartition(rows // ROWS_PER_FILE + 1)
     path = new_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -41,14 +41,14 @@ def union_find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(part, pa.int64()), pa.array([root(x) for x in part], pa.int64())], ["node", "component"])
 
 
-def _contract(links: DataFrame) -> tuple[DataFrame, DataFrame]:
+def _contract(links: DataFrame, n: int) -> tuple[DataFrame, DataFrame]:
     """The end that each node's chain of smallest neighbours leads to, and the links between ends."""
     both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    parents = materialize(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.col("a")).alias("parent")), "parents")
+    parents = materialize(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.col("a")).alias("parent")), "parents", 2 * n)
     while True:
         up = parents.select(F.col("node").alias("parent"), F.col("parent").alias("above"))
         joined = parents.join(up, "parent").select("node", F.col("above").alias("parent"), (F.col("above") < F.col("parent")).alias("moved"))
-        parents = materialize(joined, "parents")
+        parents = materialize(joined, "parents", 2 * n)
         if not parents.where("moved").limit(1).count():
             break
         parents = parents.drop("moved")
@@ -56,7 +56,7 @@ def _contract(links: DataFrame) -> tuple[DataFrame, DataFrame]:
     of = lambda name: parents.select(F.col("node").alias(name), F.col("parent").alias(f"{name}_end"))
     ends = links.join(of("a"), "a").join(of("b"), "b").where("a_end <> b_end")
     redrawn = ends.select(F.least("a_end", "b_end").alias("a"), F.greatest("a_end", "b_end").alias("b")).distinct()
-    return parents, materialize(redrawn, "links")
+    return parents, materialize(redrawn, "links", n)
 
 
 def components(links: DataFrame, one_task_links: int = ONE_TASK_LINKS) -> DataFrame:
@@ -64,11 +64,11 @@ def components(links: DataFrame, one_task_links: int = ONE_TASK_LINKS) -> DataFr
     arrow_rows(links.sparkSession, 10_000)
     levels = []
     while (n := links.count()) > one_task_links:
-        parents, links = _contract(links)
+        parents, links = _contract(links, n)
         levels.append(parents)
     labels = None
     if n:
-        labels = materialize(links.select("a", "b").repartition(1).mapInArrow(union_find, "node long, component long"), "components")
+        labels = materialize(links.select("a", "b").repartition(1).mapInArrow(union_find, "node long, component long"), "components")  # one file
     for parents in reversed(levels):
         if labels is None:
             labels = parents.select("node", F.col("parent").alias("component"))

@@ -108,7 +108,7 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_epochs: int = M
     ranges = ranges.alias("s").join(goal.alias("t"), same).select("s.source", "bucket", "before", "bucket_size", "source_size", "target", "epochs", "left")
     # the ranges that lie within the budget as a whole are taken, those beyond it aren't
     whole = F.when(F.col("before") + F.col("bucket_size") <= F.col("left"), F.lit("in")).when(F.col("before") >= F.col("left"), F.lit("out")).otherwise(F.lit("part"))
-    ranges = materialize(ranges.withColumn("place", whole), "ranges")
+    ranges = materialize(ranges.withColumn("place", whole), "ranges", goal.count() * BUCKETS)
     # some thousand ranges a source, by name and number: the join is by both, so a hot source is spread over its ranges
     placed = rows.alias("s").join(ranges.alias("t"), same & (F.col("s.bucket") == F.col("t.bucket"))).select("doc_id", "s.source", "size", "key", "s.bucket", "source_size", "target", "epochs", "left", "before", "place")
     inside = W.partitionBy("source", "bucket").orderBy("key", "doc_id", "size").rowsBetween(W.unboundedPreceding, -1)

@@ -215,12 +215,12 @@ def candidates(nodes: DataFrame, turn: int = 0) -> DataFrame:
     parts = max(1, min(int(spark.conf.get("spark.sql.shuffle.partitions")), n // ROWS_PER_PARTITION))
     rows = nodes.select("doc_id", "n_shingles", "signature").mapInArrow(_orders(turn), ORDER_ROWS)
     by = ("tree", "key", "doc_id")
-    near = materialize(rows.repartitionByRange(parts, *by).sortWithinPartitions(*by).mapInArrow(_neighbours(False), NEAR_ROWS), "near")
+    near = materialize(rows.repartitionByRange(parts, *by).sortWithinPartitions(*by).mapInArrow(_neighbours(False), NEAR_ROWS), "near", n)
     cut = near.where("b is null").select("tree", "key", F.col("a").alias("doc_id"), "n", "part")
     across = cut.repartition(1).sortWithinPartitions(*by).mapInArrow(_neighbours(True), NEAR_ROWS)
     pairs = near.where("b is not null").unionByName(across)
     votes = pairs.groupBy("a", "b").agg(F.count("*").alias("votes"), F.max("depth").alias("depth"), F.max("crowded").alias("crowded"))
-    return materialize(votes, "candidates")
+    return materialize(votes, "candidates", near.count())
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -231,23 +231,23 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.ListArray.from_arrays(pa.array(offsets), values)], ["doc_id", "hashes"])
 
 
-def full_sets(docs: DataFrame, pairs: DataFrame) -> DataFrame:
-    """doc_id and hashes of the documents in pairs, materialized."""
+def full_sets(docs: DataFrame, pairs: DataFrame, n: int) -> DataFrame:
+    """doc_id and hashes of the documents in the n pairs, materialized."""
     arrow_rows(docs.sparkSession)
-    ids = materialize(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "pair-ids")
+    ids = materialize(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "pair-ids", 2 * n)
     rows = restrict(docs.select("doc_id", "text"), ids, "doc_id", True).mapInArrow(_sets, "doc_id long, hashes array<long>")
     return materialize(rows, "sets")
 
 
-def confirm(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs with linked: whether their full sets are alike enough. Materialized.
+def confirm(pairs: DataFrame, sets: DataFrame, n: int) -> DataFrame:
+    """The pairs, n at most, with linked: whether their full sets are alike enough. Materialized.
 
     A node is in 2 * WIDTH * TREES pairs of a turn at most, so no key is hot.
     """
     a, b = (sets.select(F.col("doc_id").alias(x), F.col("hashes").alias(f"h{x}")) for x in "ab")
     both = pairs.join(a, "a").join(b, "b").withColumn("__shared", F.size(F.array_intersect("ha", "hb")).cast("long"))
     union = F.size("ha") + F.size("hb") - F.col("__shared")
-    return materialize(both.select(*pairs.columns, (100 * F.col("__shared") >= PERCENT * union).alias("linked")), "confirmed")
+    return materialize(both.select(*pairs.columns, (100 * F.col("__shared") >= PERCENT * union).alias("linked")), "confirmed", n)
 
 
 def _labelled(pairs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -258,46 +258,48 @@ def _labelled(pairs: DataFrame, labels: DataFrame) -> DataFrame:
     return pairs
 
 
-def _joined(labels: DataFrame, links: DataFrame) -> DataFrame:
+def _joined(labels: DataFrame, links: DataFrame, n: int) -> DataFrame:
     """The labels after further links (a, b) between components."""
     more = components(links).select(F.col("node").alias("component"), F.col("component").alias("__to"))
     old = labels.join(more, "component", "left").select("node", F.coalesce("__to", "component").alias("component"))
     fresh = more.join(labels.select(F.col("node").alias("component")), "component", "left_anti").select(F.col("component").alias("node"), F.col("__to").alias("component"))
-    return materialize(old.unionByName(fresh), "labels")
+    return materialize(old.unionByName(fresh), "labels", n)
 
 
 def link(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     """node and component of the nodes that have a link. docs has the texts, nodes one row of each set."""
-    turn, labels, part = 0, None, nodes
+    turn, labels, part, seen = 0, None, nodes, 0
     while True:
         pairs = candidates(part, turn)
-        if not pairs.limit(1).count():
+        n = pairs.count()
+        if not n:
             break
-        sets = full_sets(docs, pairs)
+        seen += n
+        sets = full_sets(docs, pairs, n)
         fresh = False
         if labels is None:
             ends = pairs.select(F.col("a").alias("node"), "a", "b", "votes", "depth").unionByName(pairs.select(F.col("b").alias("node"), "a", "b", "votes", "depth"))
             best = ends.groupBy("node").agg(F.max(F.struct("votes", "depth", F.col("a"), F.col("b"))).alias("x")).select("x.a", "x.b").distinct()
-            confirmed = confirm(best, sets)
+            confirmed = confirm(best, sets, n)
             labels = components(confirmed.where("linked").select("a", "b"))
             tried = confirmed.select("a", "b")
             rest = _labelled(pairs.join(tried, ["a", "b"], "left_anti"), labels)
             failed = confirmed.where("not linked").join(pairs.where("crowded").select("a", "b"), ["a", "b"])
         else:
             rest, failed = _labelled(pairs, labels), None
-        again = confirm(rest.where("ca <> cb").select("a", "b", "ca", "cb", "crowded"), sets)
-        links = materialize(again.where("linked").select(F.least("ca", "cb").alias("a"), F.greatest("ca", "cb").alias("b")).distinct(), "new-links")
+        again = confirm(rest.where("ca <> cb").select("a", "b", "ca", "cb", "crowded"), sets, n)
+        links = materialize(again.where("linked").select(F.least("ca", "cb").alias("a"), F.greatest("ca", "cb").alias("b")).distinct(), "new-links", n)
         if links.limit(1).count():
-            labels, fresh = _joined(labels, links), True
+            labels, fresh = _joined(labels, links, 2 * seen), True
         open_pairs = again.where("crowded and not linked").select("a", "b")
         if failed is not None:
             open_pairs = open_pairs.unionByName(failed.select("a", "b"))
         still = _labelled(open_pairs, labels).where("ca <> cb").select(F.explode(F.array("ca", "cb")).alias("component")).distinct()
-        still = materialize(still, "open")
+        still = materialize(still, "open", 2 * n)
         if (turn and not fresh) or not still.limit(1).count():
             break
         members = labels.join(still, "component", "left_semi").select(F.col("node").alias("doc_id")).unionByName(still.select(F.col("component").alias("doc_id"))).distinct()
-        part = materialize(nodes.join(members, "doc_id", "left_semi"), "open-nodes")
+        part = materialize(nodes.join(members, "doc_id", "left_semi"), "open-nodes", 2 * seen)
         turn += 1
     return labels if labels is not None else docs.sparkSession.createDataFrame([], "node long, component long")
 
@@ -309,13 +311,14 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     arrow_rows(spark)
     signed = materialize(docs.mapInArrow(_sign, "doc_id long, n_shingles long, set_key binary, signature binary"), "signatures")
     several = signed.where("set_key is not null").groupBy("set_key").agg(F.min("doc_id").alias("first"), F.count("*").alias("n")).where("n > 1").drop("n")
-    several = materialize(several, "equal-sets")
+    n = signed.count()
+    several = materialize(several, "equal-sets", n)
     ids = signed.select("doc_id", "n_shingles", "set_key")
     # the side of the equal sets has each key once; what a third of all documents share is split by adaptive execution
-    firsts = materialize(ids.join(several, "set_key", "left").select("doc_id", "n_shingles", F.coalesce("first", "doc_id").alias("first")), "firsts")
-    others = materialize(firsts.where("first <> doc_id").select("doc_id").distinct(), "others")
+    firsts = materialize(ids.join(several, "set_key", "left").select("doc_id", "n_shingles", F.coalesce("first", "doc_id").alias("first")), "firsts", n)
+    others = materialize(firsts.where("first <> doc_id").select("doc_id").distinct(), "others", n)
     nodes = restrict(signed.where("set_key is not null").select("doc_id", "n_shingles", "signature"), others, "doc_id", False)
-    nodes = materialize(nodes.dropDuplicates(["doc_id"]), "nodes")
+    nodes = materialize(nodes.dropDuplicates(["doc_id"]), "nodes", n)
     labels = link(docs, nodes).select(F.col("node").alias("first"), "component")
     out = firsts.join(labels, "first", "left").withColumn("component_id", F.coalesce("component", "first"))
     return out.select("doc_id", "n_shingles", "component_id", (F.col("doc_id") == F.col("component_id")).alias("kept"))
@@ -324,10 +327,11 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 def keep(docs: DataFrame) -> DataFrame:
     """The documents, with all their columns, that near_duplicates() keeps: one of each component, and one of rows that repeat a doc_id."""
     found = materialize(near_duplicates(docs).select("doc_id", "kept"), "near-duplicates")
-    out = materialize(found.where("not kept").select("doc_id").distinct(), "dropped")
+    n = found.count()
+    out = materialize(found.where("not kept").select("doc_id").distinct(), "dropped", n)
     left = restrict(docs, out, "doc_id", False)
     repeated = found.where("kept").groupBy("doc_id").count().where("count > 1").select("doc_id")
-    repeated = materialize(repeated, "repeated")
+    repeated = materialize(repeated, "repeated", n)
     if not repeated.limit(1).count():
         return left
     return restrict(left, repeated, "doc_id", False).unionByName(restrict(left, repeated, "doc_id", True).dropDuplicates(["doc_id"]))

@@ -154,18 +154,19 @@ def discover(found: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     after = F.min(F.when(F.col("kind").isNotNull(), F.col("start"))).over(in_doc.rowsBetween(1, W.unboundedFollowing))
     free = F.coalesce(before <= F.col("start"), F.lit(True)) & F.coalesce(after >= F.col("end"), F.lit(True))
     each = materialize(each.withColumn("__free", F.col("kind").isNotNull() | free).where("__free").drop("__free"), "identifiers")
+    n = 3 * each.count()
     links = each.select("value", "kind", F.explode("contexts").alias("pattern"))
-    graph = materialize(links.groupBy("pattern", "value").agg(F.count("*").alias("n"), F.max("kind").alias("kind")), "graph")
+    graph = materialize(links.groupBy("pattern", "value").agg(F.count("*").alias("n"), F.max("kind").alias("kind")), "graph", n)
     # patterns without a seed can't be trusted, values without a pattern left can't be found
     seeds = graph.groupBy("pattern").agg(F.count_if(F.col("kind").isNotNull()).alias("seeds")).where(F.col("seeds") >= MIN_SEEDS)
-    graph = materialize(graph.join(seeds, "pattern"), "trusted-graph")
+    graph = materialize(graph.join(seeds, "pattern"), "trusted-graph", n)
     known = [F.when(F.col("kind").isNotNull(), (F.col("kind") == k).cast("double")).otherwise(F.coalesce(F.col(f"u_{k}"), F.lit(0.0))).alias(f"s_{k}") for k in KINDS]
     unknown = found.sparkSession.createDataFrame([], "value string, " + ", ".join(f"u_{k} double" for k in KINDS))
     for _ in range(rounds):
         scored = graph.join(unknown, "value", "left").select("pattern", "value", "n", *known)
         patterns = scored.groupBy("pattern").agg(*_scores("pattern"))
         reached = graph.where("kind is null").join(patterns, "pattern")
-        unknown = materialize(reached.groupBy("value").agg(*(F.max(f"p_{k}").alias(f"u_{k}") for k in KINDS)), "scores")
+        unknown = materialize(reached.groupBy("value").agg(*(F.max(f"p_{k}").alias(f"u_{k}") for k in KINDS)), "scores", n)
     likely = unknown.withColumn("__best", F.greatest(*(F.col(f"u_{k}") for k in KINDS))).where(F.col("__best") >= TRUST)
     kind = F.coalesce(*(F.when(F.col(f"u_{k}") == F.col("__best"), F.lit(k)) for k in KINDS))
     return each.where("kind is null").drop("kind").join(likely.select("value", kind.alias("kind")), "value").select("doc_id", "kind", "start", "end")

@@ -156,7 +156,7 @@ def _training_rows(docs: DataFrame, labels: DataFrame, rows: int) -> DataFrame:
     joined = docs.select("doc_id", "text").join(F.broadcast(named), "doc_id")
     part = F.when(F.pmod(F.xxhash64("doc_id", F.lit("part")), F.lit(3)) < 2, F.lit("grow")).otherwise(F.lit("prune"))
     numbers = with_stats(joined).select("doc_id", (F.col("__quality") < 1).cast("int").alias("__bad"), part.alias("__part"), *STATS, *HIDDEN)
-    return materialize(numbers, "labelled").where(~base_failed()).coalesce(1)
+    return materialize(numbers, "labelled", 2 * rows).where(~base_failed()).coalesce(1)
 
 
 def _gain(p: float, n: float, p0: float, n0: float) -> float:
@@ -240,7 +240,7 @@ def learn(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> D
     for f in names:  # quantiles of the bad rows too: what is rare among all may be common among them
         more = rows.where("__bad = 1").agg(F.percentile(FEATURES[f](), F.array(*map(F.lit, probabilities[::2])))).first()[0]
         cuts[f] = sorted({*cuts[f], *(more or ())})
-    rows = materialize(rows.withColumn("__bins", _bins(cuts)), "binned").coalesce(1)
+    rows = materialize(rows.withColumn("__bins", _bins(cuts)), "binned")
     while len(learned.rules) < MAX_RULES:
         left = rows.where(learned.accepts())
         rule = _grow(left.where("__part = 'grow'"), cuts, learned)

@@ -76,15 +76,16 @@ def scan(docs: DataFrame, versions: DataFrame, ledger: DataFrame | None, rules_v
     """
     spark = docs.sparkSession
     arrow_rows(spark)
+    n = versions.count()
     first = versions.groupBy("blob").agg(F.min("doc_id").alias("first"), F.count("*").alias("paths"))
     if ledger is not None:
         known = ledger.where(F.col("rules_version") == rules_version).select("blob").distinct()
         unseen = first.join(known, "blob", "left_anti")
-        texts = restrict(docs.select("doc_id", "text"), materialize(unseen.select(F.col("first").alias("doc_id")), "unseen"), "doc_id", True)
+        texts = restrict(docs.select("doc_id", "text"), materialize(unseen.select(F.col("first").alias("doc_id")), "unseen", n), "doc_id", True)
     else:
         again = first.where("paths > 1")
         extra = versions.join(again, "blob").where("doc_id <> first").select("doc_id").distinct()
-        texts = restrict(docs.select("doc_id", "text"), materialize(extra, "extra-paths"), "doc_id", False)
+        texts = restrict(docs.select("doc_id", "text"), materialize(extra, "extra-paths", n), "doc_id", False)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
