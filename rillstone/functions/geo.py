@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .text import distinct_by, key_words, match_text, place_case
+from .text import bind, distinct_by, key_words, match_text, place_case
 
 #: Province names, folded, and their codes.
 PROVINCES = {
@@ -38,8 +38,11 @@ def _code_of(name: Column) -> Column:
 def province(c: Column) -> Column:
     """G1: the code of a province given by code or name, with or without "provincia di"; else the text in capitals."""
     text = F.coalesce(F.trim(c), F.lit(""))
-    letters = F.upper(F.regexp_replace(text, "[^A-Za-z]", ""))
-    name = match_text(text)
+    parts = F.struct(text.alias("text"), F.upper(F.regexp_replace(text, "[^A-Za-z]", "")).alias("letters"), match_text(text).alias("name"))
+    return bind(parts, lambda x: _province(x["text"], x["letters"], x["name"]))
+
+
+def _province(text: Column, letters: Column, name: Column) -> Column:
     bare = F.trim(F.regexp_replace(name, r"provincia (?:di )?", ""))
     return F.when(text == "", "").when(letters.isin(*CODES), letters).otherwise(F.coalesce(_code_of(name), _code_of(bare), F.nullif(letters, F.lit("")), F.upper(name)))
 
@@ -47,7 +50,10 @@ def province(c: Column) -> Column:
 def province_codes(c: Column) -> Column:
     """All provinces that a field names, sorted."""
     text = F.coalesce(F.trim(c), F.lit(""))
-    single = province(text)
+    return bind(F.struct(text.alias("text"), province(text).alias("single")), lambda x: _province_codes(x["text"], x["single"]))
+
+
+def _province_codes(text: Column, single: Column) -> Column:
     pairs = F.filter(F.regexp_extract_all(F.upper(text), F.lit("[A-Z]{2}"), F.lit(0)), lambda x: x.isin(*CODES))
     names = F.transform(F.regexp_extract_all(match_text(text), F.lit(rf"\b({_ANY_NAME})\b"), F.lit(1)), _code_of)
     return F.when(text == "", F.array().cast("array<string>")).when(single.isin(*CODES), F.array(single)).otherwise(F.sort_array(F.array_distinct(F.concat(pairs, names))))
@@ -68,6 +74,10 @@ def title_province_codes(title: Column) -> Column:
     speak of voltage.
     """
     raw = F.coalesce(title, F.lit(""))
+    return bind(F.struct(raw.alias("raw"), match_text(raw).alias("words")), lambda x: _title_province_codes(x["raw"], x["words"]))
+
+
+def _title_province_codes(raw: Column, words: Column) -> Column:
     form = r"\(([A-Za-z]{2})\)"
     codes = F.transform(F.regexp_extract_all(raw, F.lit(form), F.lit(1)), F.upper)
     gaps = F.split(raw, form, -1)
@@ -81,7 +91,6 @@ def title_province_codes(title: Column) -> Column:
             electrical = electrical | ((code == k) & F.rlike(around, F.lit("|".join(words))))
         return code.isin(*CODES) & ~electrical
 
-    words = match_text(raw)
     after_word = F.filter(F.transform(F.regexp_extract_all(words, F.lit(r"\b(?:prov|provincia)\s+(?:di\s+)?([a-z]{2})\b"), F.lit(1)), F.upper), lambda x: x.isin(*CODES))
     named = F.transform(F.regexp_extract_all(words, F.lit(rf"\b(?:provincia|prov)\s+(?:di\s+)?({_ANY_NAME})\b"), F.lit(1)), _code_of)
     return F.array_distinct(F.concat(F.filter(codes, is_province), after_word, named))

@@ -35,6 +35,15 @@ def bind(value: Column, body) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
+def settled(c: Column) -> Column:
+    """The column, with a term that isn't deterministic but changes nothing.
+
+    A filter on it is not pushed below the projection that makes it. Pushed
+    down, it would write out all that the column is made of, at each mention.
+    """
+    return F.when(F.monotonically_increasing_id() >= 0, c)
+
+
 def is_blank(c: Column) -> Column:
     """Null, or white space alone."""
     return c.isNull() | (F.trim(F.regexp_replace(c.cast("string"), _SPACES, " ")) == "")

@@ -52,7 +52,7 @@ def prune_versions(spark: SparkSession, root: str, keep: int) -> list[str]:
 def write_report_csv(df: DataFrame, path: str, sep: str = ",", one_file: bool = True, quote_all: bool = False, line_end: str = "\n") -> None:
     """Header and rows; one_file suits reports of bounded size."""
     out = df.coalesce(1) if one_file else df
-    out.write.mode("overwrite").csv(path, header=True, sep=sep, quoteAll=quote_all, lineSep=line_end, escape='"', timestampFormat="yyyy-MM-dd'T'HH:mm:ss", timestampNTZFormat="yyyy-MM-dd'T'HH:mm:ss")
+    out.write.mode("overwrite").option("timestampNTZFormat", "yyyy-MM-dd'T'HH:mm:ss").csv(path, header=True, sep=sep, quoteAll=quote_all, lineSep=line_end, escape='"', timestampFormat="yyyy-MM-dd'T'HH:mm:ss")
 
 
 def client_rows(df: DataFrame, numbers: Sequence[str]) -> DataFrame:
