@@ -46,6 +46,8 @@ PERMUTATIONS = 128
 TREES, MIN_DEPTH, MAX_DEPTH, WIDTH = 32, 4, 12, 3
 #: Bytes of a text that are split into words at once.
 BLOCK = 1 << 22
+#: A row with a signature counts as so many rows of numbers, where files are counted.
+WIDE = 8
 #: Rows of a partition of the orders, at least about so many.
 ROWS_PER_PARTITION = 20_000
 
@@ -299,7 +301,7 @@ def link(docs: DataFrame, nodes: DataFrame) -> DataFrame:
         if (turn and not fresh) or not still.limit(1).count():
             break
         members = labels.join(still, "component", "left_semi").select(F.col("node").alias("doc_id")).unionByName(still.select(F.col("component").alias("doc_id"))).distinct()
-        part = materialize(nodes.join(members, "doc_id", "left_semi"), "open-nodes", 2 * seen)
+        part = materialize(nodes.join(members, "doc_id", "left_semi"), "open-nodes", 2 * WIDE * seen)
         turn += 1
     return labels if labels is not None else docs.sparkSession.createDataFrame([], "node long, component long")
 
@@ -318,7 +320,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     firsts = materialize(ids.join(several, "set_key", "left").select("doc_id", "n_shingles", F.coalesce("first", "doc_id").alias("first")), "firsts", n)
     others = materialize(firsts.where("first <> doc_id").select("doc_id").distinct(), "others", n)
     nodes = restrict(signed.where("set_key is not null").select("doc_id", "n_shingles", "signature"), others, "doc_id", False)
-    nodes = materialize(nodes.dropDuplicates(["doc_id"]), "nodes", n)
+    nodes = materialize(nodes.dropDuplicates(["doc_id"]), "nodes", WIDE * n)
     labels = link(docs, nodes).select(F.col("node").alias("first"), "component")
     out = firsts.join(labels, "first", "left").withColumn("component_id", F.coalesce("component", "first"))
     return out.select("doc_id", "n_shingles", "component_id", (F.col("doc_id") == F.col("component_id")).alias("kept"))
