@@ -13,8 +13,11 @@ cut into many partitions; rows at the cuts are compared once more. Candidates
 are confirmed on full sets: first each node's best one, which joins most of
 what belongs together, then those between different components. If a crowded
 region still shows candidates that aren't linked, the components concerned
-are sorted once more in fresh orders, until that gives no new link; there is
-no cap on a region's size.
+are sorted once more in fresh orders, until that gives no new link. Regions
+that are open even then are finished exactly: their nodes are dealt to tiles,
+and a tile compares the full sets of all its nodes of different components.
+There is no cap on a region's size; the work of the last step grows with its
+square.
 
 Null or empty texts, and those without words, have empty sets and are linked
 with nothing. Repeated rows are linked. doc_id must be an integer; extra
@@ -35,7 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import arrow_rows, materialize, restrict
-from .components import components
+from .components import components, union_find
 
 SHINGLE = 5
 #: Linked from this percentage of the union on.
@@ -48,6 +51,10 @@ TREES, MIN_DEPTH, MAX_DEPTH, WIDTH = 32, 4, 12, 3
 BLOCK = 1 << 22
 #: A row with a signature counts as so many rows of numbers, where files are counted.
 WIDE = 8
+#: Nodes and shingles of one side of a tile, about so many at most; shingles of a tile that are compared at once.
+TILE_NODES, TILE_SHINGLES, TILE_COLUMNS = 2048, 2_000_000, 2048
+#: Sizes of sets are put into bands by powers of this, a bit more than 100 / PERCENT: links lie within a band or between two adjacent ones.
+BAND = 1.34
 #: Rows of a partition of the orders, at least about so many.
 ROWS_PER_PARTITION = 20_000
 
@@ -148,13 +155,15 @@ def _orders(turn: int):
     return run
 
 
-NEAR_ROWS = "a long, b long, depth int, crowded boolean, tree int, key binary, n long, part int"
+NEAR_ROWS = "a long, b long, depth int, crowded boolean, fits boolean, tree int, key binary, n long, part int"
 
 
 def _neighbours(across: bool):
     """A function that gives pairs of sorted rows that stand near and agree on MIN_DEPTH minima, and the partition's outer rows (b null).
 
-    crowded tells that the region goes on beyond the neighbours looked at. With
+    crowded tells that the region goes on beyond the neighbours looked at, and
+    fits that the sizes allow a link; pairs that don't fit are given where they
+    hold a region together or show that it goes on. With
     across, the rows are outer rows of all partitions, in order; pairs within
     a partition are left out, as they were found there.
     """
@@ -163,7 +172,7 @@ def _neighbours(across: bool):
     def outer(tree, key, ids, n, _) -> pa.RecordBatch:
         m = len(ids)
         part = np.full(m, TaskContext.get().partitionId(), np.int32)
-        return pa.RecordBatch.from_arrays([pa.array(ids), pa.nulls(m, pa.int64()), pa.nulls(m, pa.int32()), pa.nulls(m, pa.bool_()), pa.array(tree), _binary(key), pa.array(n), pa.array(part)], names)
+        return pa.RecordBatch.from_arrays([pa.array(ids), pa.nulls(m, pa.int64()), pa.nulls(m, pa.int32()), pa.nulls(m, pa.bool_()), pa.nulls(m, pa.bool_()), pa.array(tree), _binary(key), pa.array(n), pa.array(part)], names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, seen = None, 0
@@ -188,7 +197,10 @@ def _neighbours(across: bool):
                 same = (key[step:] == key[:-step]) & (tree[step:] == tree[:-step])[:, None]
                 depth = np.cumprod(same, axis=1, dtype=np.int32).sum(axis=1)
                 small, large = np.minimum(n[step:], n[:-step]), np.maximum(n[step:], n[:-step])
-                good = (depth >= MIN_DEPTH) & (100 * small >= PERCENT * large) & (ids[step:] != ids[:-step])
+                fits = 100 * small >= PERCENT * large
+                good = (depth >= MIN_DEPTH) & (ids[step:] != ids[:-step])
+                if step not in (1, WIDTH):
+                    good &= fits
                 if across:
                     good &= part[step:] != part[:-step]
                 good[:first] = False
@@ -196,7 +208,7 @@ def _neighbours(across: bool):
                 k = len(at)
                 if k:
                     x, y = ids[:-step][at], ids[step:][at]
-                    yield pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y)), pa.array(depth[at].astype(np.int32)), pa.array(np.full(k, step == WIDTH)), *(pa.nulls(k, z) for z in (pa.int32(), pa.binary(), pa.int64(), pa.int32()))], names)
+                    yield pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y)), pa.array(depth[at].astype(np.int32)), pa.array(np.full(k, step == WIDTH)), pa.array(fits[at]), *(pa.nulls(k, z) for z in (pa.int32(), pa.binary(), pa.int64(), pa.int32()))], names)
             held = [x[-WIDTH:] for x in rows]
             seen += m
         if held is not None and seen > WIDTH and not across:
@@ -207,7 +219,7 @@ def _neighbours(across: bool):
 
 
 def candidates(nodes: DataFrame, turn: int = 0) -> DataFrame:
-    """a, b, votes (orders in which they are neighbours), depth and crowded of each candidate pair, materialized.
+    """a, b, votes (orders in which they are neighbours), depth, crowded and fits of each candidate pair, materialized.
 
     nodes has doc_id, n_shingles and signature.
     """
@@ -221,7 +233,7 @@ def candidates(nodes: DataFrame, turn: int = 0) -> DataFrame:
     cut = near.where("b is null").select("tree", "key", F.col("a").alias("doc_id"), "n", "part")
     across = cut.repartition(1).sortWithinPartitions(*by).mapInArrow(_neighbours(True), NEAR_ROWS)
     pairs = near.where("b is not null").unionByName(across)
-    votes = pairs.groupBy("a", "b").agg(F.count("*").alias("votes"), F.max("depth").alias("depth"), F.max("crowded").alias("crowded"))
+    votes = pairs.groupBy("a", "b").agg(F.count("*").alias("votes"), F.max("depth").alias("depth"), F.max("crowded").alias("crowded"), F.max("fits").alias("fits"))
     return materialize(votes, "candidates", near.count())
 
 
@@ -235,8 +247,12 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def full_sets(docs: DataFrame, pairs: DataFrame, n: int) -> DataFrame:
     """doc_id and hashes of the documents in the n pairs, materialized."""
+    return sets_of(docs, materialize(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "pair-ids", 2 * n))
+
+
+def sets_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """doc_id and hashes of the documents in ids, which are materialized; materialized."""
     arrow_rows(docs.sparkSession)
-    ids = materialize(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "pair-ids", 2 * n)
     rows = restrict(docs.select("doc_id", "text"), ids, "doc_id", True).mapInArrow(_sets, "doc_id long, hashes array<long>")
     return materialize(rows, "sets")
 
@@ -268,11 +284,92 @@ def _joined(labels: DataFrame, links: DataFrame, n: int) -> DataFrame:
     return materialize(old.unionByName(fresh), "labels", n)
 
 
+def _tile(rows: pa.Table) -> pa.Table:
+    """Links (a, b) between components, as few as join what is alike in a tile; every pair of the two sides, or of the only one, is compared."""
+    rows = rows.combine_chunks()
+    ids, side = (rows.column(c).to_numpy() for c in ("component", "side"))
+    lists = rows.column("hashes").combine_chunks()
+    sizes = lists.value_lengths().to_numpy().astype(np.int64)
+    _, columns, counts = np.unique(lists.flatten().to_numpy(), return_inverse=True, return_counts=True)
+    at = np.repeat(np.arange(len(ids)), sizes)
+    several = counts > 1  # what one node alone has is shared with none
+    inside = several[columns]
+    at, columns = at[inside], (np.cumsum(several) - 1)[columns[inside]]
+    order = np.argsort(columns, kind="stable")
+    at, columns = at[order], columns[order]
+    left = np.flatnonzero(side == 0)
+    right = np.flatnonzero(side == 1)
+    right = right if len(right) else left
+    shared = np.zeros((len(left), len(right)), np.float32)
+    for first in range(0, int(several.sum()), TILE_COLUMNS):
+        low, high = np.searchsorted(columns, (first, first + TILE_COLUMNS))
+        has = np.zeros((len(ids), TILE_COLUMNS), np.float32)
+        has[at[low:high], columns[low:high] - first] = 1
+        shared += has[left] @ has[right].T
+    shared = shared.astype(np.int64)
+    alike = (100 + PERCENT) * shared >= PERCENT * (sizes[left][:, None] + sizes[right][None, :])
+    x, y = np.nonzero(alike & (ids[left][:, None] != ids[right][None, :]))
+    a, b = ids[left][x], ids[right][y]
+    pairs = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], axis=1), axis=0)
+    found = list(union_find(iter([pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])])))
+    if not found:
+        return pa.table({"a": pa.array([], pa.int64()), "b": pa.array([], pa.int64())})
+    joined = pa.Table.from_batches(found)
+    to, node = joined.column("component").to_numpy(), joined.column("node").to_numpy()
+    return pa.table({"a": to[to != node], "b": node[to != node]})
+
+
+def finish(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The labels after all links within open regions, found by comparing all nodes there whose sizes allow a link.
+
+    pairs are the candidates of all nodes. Nodes of a run that agree on
+    MIN_DEPTH minima are connected by them, so each pair of a run that no order
+    looked at lies in one region; a region is open if it goes on beyond the
+    neighbours looked at and shows two components there. A component that
+    fills tiles of its own isn't compared with itself.
+    """
+    n = pairs.count()
+    shown = _labelled(pairs.where("crowded").select("a", "b"), labels).where("ca <> cb").select(F.col("a").alias("node")).distinct()
+    shown = materialize(shown, "open-ends", n)
+    if not shown.limit(1).count():
+        return labels
+    regions = components(pairs.select("a", "b")).withColumnRenamed("component", "region")
+    open_regions = materialize(regions.join(shown, "node", "left_semi").select("region").distinct(), "open-regions", n)
+    members = regions.join(open_regions, "region", "left_semi").join(nodes.select(F.col("doc_id").alias("node"), F.col("n_shingles").alias("n")), "node")
+    members = members.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    members = members.withColumn("band", F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(BAND))).cast("int"))
+    members = materialize(members.select("node", "region", "component", "band", "n"), "members", 2 * n)
+    large = members.groupBy("region", "component").count().where(F.col("count") >= TILE_NODES).select("region", "component", F.lit(True).alias("large"))
+    members = members.join(large, ["region", "component"], "left").withColumn("large", F.coalesce("large", F.lit(False)))
+    members = members.withColumn("of", F.when(F.col("large"), F.col("component")).otherwise(F.lit(0).cast("long")))
+    cell = ["region", "large", "of", "band"]
+    cells = members.groupBy(*cell).agg(F.ceil(F.greatest(F.count("*") / TILE_NODES, F.sum("n") / TILE_SHINGLES)).cast("long").alias("blocks"))
+    cells = materialize(cells, "cells", 2 * n)
+    blocks = cells.select(*cell, F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block"))
+    own = F.struct("large", "of", "block")
+    x = blocks.select("region", F.col("band").alias("xb"), own.alias("x"), F.explode(F.array(F.col("band"), F.col("band") + 1)).alias("yb"))
+    y = blocks.select("region", F.col("band").alias("yb"), own.alias("y"))
+    both = x.join(y, ["region", "yb"]).where(((F.col("xb") < F.col("yb")) | (F.col("x") <= F.col("y"))) & ~(F.col("x.large") & F.col("y.large") & (F.col("x.of") == F.col("y.of"))))
+    name = F.concat_ws(":", *(c.cast("string") for c in map(F.col, ("region", "xb", "x.large", "x.of", "x.block", "yb", "y.large", "y.of", "y.block"))))
+    same = (F.col("xb") == F.col("yb")) & (F.col("x") == F.col("y"))
+    sides = F.array(F.struct(F.col("xb").alias("band"), F.col("x").alias("own"), F.lit(0).alias("side")), F.struct(F.col("yb").alias("band"), F.col("y").alias("own"), F.lit(1).alias("side")))
+    tiles = both.select("region", name.alias("tile"), F.explode(F.when(same, F.slice(sides, 1, 1)).otherwise(sides)).alias("s")).select("region", "tile", "s.band", "s.own.*", "s.side")
+    placed = members.join(cells, cell).withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")))
+    placed = placed.join(tiles, [*cell, "block"]).select("tile", "side", "component", F.col("node").alias("doc_id"))
+    placed = materialize(placed, "placed")
+    sets = sets_of(docs, materialize(placed.select("doc_id").distinct(), "tile-ids", 2 * n))
+    rows = placed.join(sets, "doc_id").select("tile", "side", "component", "hashes")
+    links = materialize(rows.groupBy("tile").applyInArrow(_tile, "a long, b long").distinct(), "exact-links", 2 * n)
+    return _joined(labels, links, 2 * n) if links.limit(1).count() else labels
+
+
 def link(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     """node and component of the nodes that have a link. docs has the texts, nodes one row of each set."""
-    turn, labels, part, seen = 0, None, nodes, 0
+    turn, labels, part, seen, first = 0, None, nodes, 0, None
     while True:
         pairs = candidates(part, turn)
+        first = pairs if first is None else first
+        pairs = pairs.where("fits")
         n = pairs.count()
         if not n:
             break
@@ -303,7 +400,9 @@ def link(docs: DataFrame, nodes: DataFrame) -> DataFrame:
         members = labels.join(still, "component", "left_semi").select(F.col("node").alias("doc_id")).unionByName(still.select(F.col("component").alias("doc_id"))).distinct()
         part = materialize(nodes.join(members, "doc_id", "left_semi"), "open-nodes", 2 * WIDE * seen)
         turn += 1
-    return labels if labels is not None else docs.sparkSession.createDataFrame([], "node long, component long")
+    if labels is None:
+        labels = docs.sparkSession.createDataFrame([], "node long, component long")
+    return finish(docs, nodes, first, labels)
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:

@@ -99,6 +99,17 @@ def test_chain_links_what_isnt_alike(spark):
     check(spark, docs, brute_force(docs))
 
 
+def test_planted_pairs_in_a_crowd_of_unlinked_look_alikes(spark):
+    base = " ".join(f"base{i}" for i in range(141))  # 137 shingles of all documents; two of them share 137 of 183, 0.749
+    tails = {i: [f"own{i}x{k}" for k in range(23)] for i in range(3000)}
+    planted = [(i, 1500 + i) for i in range(0, 1500, 250)]
+    for a, b in planted:  # 138 of 182, 0.758
+        tails[b][:1] = tails[a][:1]
+    docs = [(i, f"{base} {' '.join(t)}") for i, t in tails.items()]
+    out = {r.doc_id: r.component_id for r in N.near_duplicates(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    assert out == {i: i for i in tails} | {b: a for a, b in planted}
+
+
 def test_contraction_equals_one_task(spark):
     rng = random.Random(1)
     links = [(a, b) for a, b in ((rng.randrange(300), rng.randrange(300)) for _ in range(220)) if a != b] + [(500, 500 + i) for i in range(1, 60)]
