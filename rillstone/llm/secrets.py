@@ -70,22 +70,33 @@ def empty_ledger(spark: SparkSession) -> DataFrame:
 def scan(docs: DataFrame, versions: DataFrame, ledger: DataFrame | None, rules_version: str) -> DataFrame:
     """Ledger rows of the blobs in versions that the ledger doesn't hold for this rule version.
 
-    Of the paths of a blob, that with the smallest id is read. The other
-    paths are left out before Python sees a text: an anti join with their ids,
-    which are broadcast up to a checked number, and else shuffled.
+    Of the paths of a blob, that with the smallest id is read. Ids that are the
+    first of no blob are left out before Python sees a text: an anti join with
+    them, which are broadcast up to a checked number, and else shuffled. Of an
+    id with several versions, those are read whose blob it is the first of.
     """
     spark = docs.sparkSession
     arrow_rows(spark)
     n = versions.count()
     first = versions.groupBy("blob").agg(F.min("doc_id").alias("first"), F.count("*").alias("paths"))
+    several = materialize(versions.groupBy("doc_id").count().where("count > 1").select("doc_id"), "several-versions", n)
+    repeated = several.limit(1).count() > 0
     if ledger is not None:
         known = ledger.where(F.col("rules_version") == rules_version).select("blob").distinct()
-        unseen = first.join(known, "blob", "left_anti")
-        texts = restrict(docs.select("doc_id", "text"), materialize(unseen.select(F.col("first").alias("doc_id")), "unseen", n), "doc_id", True)
+        unseen = first.join(known, "blob", "left_anti").select(F.col("first").alias("doc_id"), "blob")
+        texts = restrict(docs.select("doc_id", "text"), materialize(unseen.select("doc_id").distinct(), "unseen", n), "doc_id", True)
     else:
+        unseen = first.select(F.col("first").alias("doc_id"), "blob")
         again = first.where("paths > 1")
         extra = versions.join(again, "blob").where("doc_id <> first").select("doc_id").distinct()
+        if repeated:
+            extra = extra.join(several, "doc_id", "left_anti")
         texts = restrict(docs.select("doc_id", "text"), materialize(extra, "extra-paths", n), "doc_id", False)
+    if repeated:
+        wanted = materialize(unseen.join(several, "doc_id", "left_semi"), "wanted-versions", n)
+        small = wanted.limit(BROADCAST_ROWS // 10 + 1).count() <= BROADCAST_ROWS // 10
+        of_several = restrict(texts, several, "doc_id", True).withColumn("blob", F.sha2(null_text(F.col("text")), 256))
+        texts = restrict(texts, several, "doc_id", False).unionByName(of_several.join(F.broadcast(wanted) if small else wanted, ["doc_id", "blob"], "left_semi").select("doc_id", "text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -96,7 +107,8 @@ def scan(docs: DataFrame, versions: DataFrame, ledger: DataFrame | None, rules_v
                 rows.append((hashlib.sha256((text or "").encode()).hexdigest(), rules_version, *(sum(f[0] == k for f in found) for k in KINDS), hashlib.sha256(line.encode()).hexdigest(), line))
             yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], pa.int64() if isinstance(f.dataType, T.LongType) else pa.string()) for i, f in enumerate(LEDGER)], LEDGER.names)
 
-    return texts.select("text").mapInArrow(run, LEDGER)
+    rows = texts.select("text").mapInArrow(run, LEDGER)
+    return rows.dropDuplicates(["blob"]) if repeated else rows
 
 
 def update_ledger(docs: DataFrame, ledger: DataFrame | None = None, rules_version: str = RULES_VERSION) -> tuple[DataFrame, DataFrame]:

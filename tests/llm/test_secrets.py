@@ -48,6 +48,17 @@ def test_only_unseen_blobs_are_scanned(spark):
     assert {r.doc_id: r.spans for r in S.findings(more, ledger).collect()} == {r.doc_id: r.spans for r in S.findings(more).collect()}
 
 
+def test_every_version_of_a_path_is_scanned(spark):
+    rows = [(3, "x"), (7, "x"), (7, "password = hunter22"), (7, "password = hunter22"), (8, "password = hunter22"), (8, "token: abcdefgh"), (9, "token: abcdefgh")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    want = sorted((i, hashlib.sha256(t.encode()).hexdigest(), brute_force(t)) for i, t in rows)
+    assert sorted((r.doc_id, r.blob, r.spans) for r in S.findings(docs).collect()) == want
+    _, ledger = S.update_ledger(docs.where("doc_id = 3"))
+    versions, full = S.update_ledger(docs, ledger)
+    assert ledger.count() == 1 and full.count() == 3 and S.scan(docs, versions, full, S.RULES_VERSION).count() == 0
+    assert sorted((r.doc_id, r.blob, r.spans) for r in S.findings(docs, ledger).collect()) == want
+
+
 def test_redaction(spark):
     out = {r.doc_id: r.text for r in S.redact(frame(spark)).collect()}
     assert out[0] == '[SECRET]"' and out[1] == "token:short" and out[14] is None
