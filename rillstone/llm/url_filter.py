@@ -31,8 +31,8 @@ LISTED = tuple(f"{name}.example.{top}/" for name in ("casino-win", "cheap-pills"
 #: Bits of the filter for each entry; about 1 form in 1,000 passes falsely.
 BITS_PER_ENTRY = 16
 BLOCK_BITS, WORD_BITS = 256, 32
-#: Hosts above a host, and paths above a path, that are looked up besides themselves.
-MAX_HOSTS, MAX_PATHS = 5, 6
+#: Paths above a path that are looked up besides itself; an entry with a longer path covers itself alone.
+MAX_PATHS = 6
 #: Blocks that are broadcast at most (32 bytes each); a larger filter is joined by block number.
 BROADCAST_BLOCKS = 1_000_000
 
@@ -66,12 +66,17 @@ def canonical(host: Column, path: Column) -> tuple[Column, Column]:
     return h, p
 
 
-def forms(host: Column, path: Column) -> Column:
-    """The forms under which a page may be listed, host/path, the exact one first."""
+def longest_host(entries: DataFrame) -> int:
+    """Labels of the longest host among the entries (form); a longer host can't be listed."""
+    return entries.agg(F.max(F.size(F.split(F.substring_index("form", "/", 1), r"\.")))).first()[0] or 1
+
+
+def forms(host: Column, path: Column, most_labels: int) -> Column:
+    """The forms under which a page may be listed, host/path: hosts of up to most_labels labels."""
     h, p = canonical(host, path)
     labels, steps = F.split(h, r"\."), F.split(p, "/")
     n, m = F.size(labels), F.size(steps)
-    hosts = F.transform(F.sequence(F.lit(1), F.least(n, F.lit(MAX_HOSTS))), lambda i: F.array_join(F.slice(labels, F.when(i == 1, 1).otherwise(F.greatest(n - MAX_HOSTS, F.lit(0)) + i), n), "."))
+    hosts = F.transform(F.sequence(F.greatest(n - most_labels, F.lit(0)) + 1, n), lambda i: F.array_join(F.slice(labels, i, n), "."))
     paths = F.transform(F.sequence(F.lit(1), F.least(m, F.lit(MAX_PATHS))), lambda i: F.concat(F.array_join(F.slice(steps, 1, i), "/"), F.lit("/")))
     both = F.flatten(F.transform(hosts, lambda x: F.transform(F.concat(paths, F.array(F.concat(p, F.lit("/")))), lambda y: F.concat(x, y))))
     return F.when(h != "", F.array_distinct(both)).otherwise(F.array().cast("array<string>"))
@@ -110,7 +115,7 @@ def possible(candidates: DataFrame, blocks: DataFrame, n: int) -> DataFrame:
 def listed_forms(pages: DataFrame, entries: DataFrame) -> DataFrame:
     """The distinct forms of the pages that are listed: through the filter, then the exact join."""
     host, path = host_and_path(F.col("url"))
-    candidates = pages.select(F.explode(forms(host, path)).alias("form")).distinct()
+    candidates = pages.select(F.explode(forms(host, path, longest_host(entries))).alias("form")).distinct()
     blocks, n = bloom(entries)
     return possible(candidates, blocks, n).join(entries, "form", "left_semi")
 
@@ -123,16 +128,17 @@ def judge(pages: DataFrame, urls: DataFrame, rules=RULES) -> DataFrame:
     """
     entries = materialize(urls.where("url is not null").select(listed_form(F.col("url")).alias("form")).distinct(), "entries")
     found = materialize(listed_forms(pages, entries), "listed")
+    labels = longest_host(entries)
     host, path = host_and_path(F.col("url"))
     rows = pages.select("page_id", host.alias("host"), path.alias("path"))
     name, verdict = best_rule(F.col("host"), F.col("path"), rules)
     if found.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
         # few forms are listed: a page's own are looked up among them
         wanted = rows.select(F.col("host"), F.col("path")).distinct()
-        pairs = wanted.select("host", "path", F.explode(forms(F.col("host"), F.col("path"))).alias("form")).join(F.broadcast(found), "form")
+        pairs = wanted.select("host", "path", F.explode(forms(F.col("host"), F.col("path"), labels)).alias("form")).join(F.broadcast(found), "form")
     else:
         wanted = rows.select("host", "path").distinct()
-        pairs = wanted.select("host", "path", F.explode(forms(F.col("host"), F.col("path"))).alias("form")).join(found, "form")
+        pairs = wanted.select("host", "path", F.explode(forms(F.col("host"), F.col("path"), labels)).alias("form")).join(found, "form")
     covered = pairs.groupBy("host", "path").agg(F.max_by("form", F.struct(F.length("form"), "form")).alias("listed"))
     out = rows.join(covered, ["host", "path"], "left").withColumn("rule", name)
     return out.select("page_id", "host", "path", "rule", F.coalesce(verdict, F.when(F.col("listed").isNotNull(), F.lit("block")).otherwise(F.lit("allow"))).alias("verdict"), "listed")

@@ -43,6 +43,12 @@ def test_listed_urls_cover_what_lies_below(spark):
     assert all((r.listed is None) or r.rule or r.verdict == "block" for r in out.values())
 
 
+def test_listed_hosts_of_any_length_cover_what_lies_below(spark):
+    urls = ["http://x.a.b.spam.example.test/", "http://y.x.a.b.c.spam.example.test/p", "http://x.b.spam.example.test/", "http://z.y.a.b.spam.example.test/p/q", "http://1.2.3.4.5.6.7.8.test/"]
+    out = run(spark, urls, ["a.b.spam.example.test/", "x.a.b.c.spam.example.test"])
+    assert [out[i].listed for i in range(len(urls))] == ["a.b.spam.example.test/", "x.a.b.c.spam.example.test/", None, "a.b.spam.example.test/", None]
+
+
 def test_filter_has_no_false_negative_and_few_false_positives(spark):
     forms = spark.range(3000).selectExpr("concat('h', id, '.test/') AS form")
     blocks, n = U.bloom(forms)
