@@ -5,7 +5,9 @@ find are the seeds. The words around a seed make lexical patterns. Patterns
 and instances form a bipartite graph that is scored in rounds: a pattern is
 as trustworthy, for a kind, as the instances that it surrounds are likely to
 be of that kind; an unknown identifier is as likely as its best pattern.
-Identifiers that trusted patterns surround are added; seeds always stay.
+Identifiers that trusted patterns surround are added; seeds always stay. What
+one round trusts counts among the seeds of the next, so patterns that only new
+instances show qualify as well.
 
 All of it is Column expressions and joins: no text leaves the JVM. Patterns
 that Java's engine would match by recursion, or from every place of a long
@@ -39,8 +41,12 @@ BYTE = "0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]?[0-9])"
 CARD_DIGITS, PHONE_DIGITS = (13, 19), (9, 15)
 
 #: An unknown identifier: a run of these characters with so many digits, or with an at sign and a letter.
-IDENTIFIER = r"(?<![0-9A-Za-z@._+-])[A-Za-z@._+-]*+[0-9@][0-9A-Za-z@._+-]*+"
+RUN = r"(?<![0-9A-Za-z@._+-])[A-Za-z@._+-]*+[0-9@][0-9A-Za-z@._+-]*+"
 LEAST_DIGITS = 5
+#: Or groups of digits with spaces or brackets between them, with no more digits in all than a card has.
+_GAP = r"[\x20().-]"
+GROUPS = rf"(?<![0-9A-Za-z@._+(-])(?<![0-9]{_GAP}{{1,3}})(?=\(?[0-9.-]*+[\x20()]++{_GAP}*+[0-9])\(?[0-9](?:{_GAP}{{0,3}}+[0-9]){{{LEAST_DIGITS - 1},{CARD_DIGITS[1] - 1}}}+(?!{_GAP}{{0,3}}+[0-9]|[A-Za-z@_])"
+IDENTIFIER = f"{GROUPS}|{RUN}"
 #: Characters of context on either side.
 CONTEXT = 48
 ROUNDS = 3
@@ -157,14 +163,15 @@ def discover(found: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     n = 3 * each.count()
     links = each.select("value", "kind", F.explode("contexts").alias("pattern"))
     graph = materialize(links.groupBy("pattern", "value").agg(F.count("*").alias("n"), F.max("kind").alias("kind")), "graph", n)
-    # patterns without a seed can't be trusted, values without a pattern left can't be found
-    seeds = graph.groupBy("pattern").agg(F.count_if(F.col("kind").isNotNull()).alias("seeds")).where(F.col("seeds") >= MIN_SEEDS)
-    graph = materialize(graph.join(seeds, "pattern"), "trusted-graph", n)
+    # a pattern of fewer values never has the seeds it needs
+    enough = graph.groupBy("pattern").count().where(F.col("count") >= MIN_SEEDS).select("pattern")
+    graph = materialize(graph.join(enough, "pattern"), "trusted-graph", n)
+    trusted = F.coalesce(F.greatest(*(F.col(f"u_{k}") for k in KINDS)) >= TRUST, F.lit(False))
     known = [F.when(F.col("kind").isNotNull(), (F.col("kind") == k).cast("double")).otherwise(F.coalesce(F.col(f"u_{k}"), F.lit(0.0))).alias(f"s_{k}") for k in KINDS]
     unknown = found.sparkSession.createDataFrame([], "value string, " + ", ".join(f"u_{k} double" for k in KINDS))
     for _ in range(rounds):
-        scored = graph.join(unknown, "value", "left").select("pattern", "value", "n", *known)
-        patterns = scored.groupBy("pattern").agg(*_scores("pattern"))
+        scored = graph.join(unknown, "value", "left").select("pattern", "value", "n", (F.col("kind").isNotNull() | trusted).alias("seed"), *known)
+        patterns = scored.groupBy("pattern").agg(F.count_if("seed").alias("seeds"), *_scores("pattern")).where(F.col("seeds") >= MIN_SEEDS)
         reached = graph.where("kind is null").join(patterns, "pattern")
         unknown = materialize(reached.groupBy("value").agg(*(F.max(f"p_{k}").alias(f"u_{k}") for k in KINDS)), "scores", n)
     likely = unknown.withColumn("__best", F.greatest(*(F.col(f"u_{k}") for k in KINDS))).where(F.col("__best") >= TRUST)

@@ -59,6 +59,20 @@ def test_contexts_discover_unseen_identifiers(spark):
     assert all(r.n_phone == (r.doc_id < 12) for r in out)
 
 
+def test_identifiers_in_groups_and_in_contexts_of_new_ones(spark):
+    docs = [f"please call +39 06 {5550000 + i} before noon" for i in range(60)]
+    groups = ["please call 06 555 1234 now", "please call (974) 555-3436 now", "please call 06 555 1234"]
+    docs += [*groups, "we counted 06 555 9999 grains", "please call 1 2 3 4 5 6 7 8 9 0 1 2 3 4 5 6 7 8 9 0 now"]
+    first = len(docs)
+    docs += [f"please call 06 777 {1000 + i} soon" for i in range(10)]
+    docs += [f"reach desk 06 777 {1000 + i} soon" for i in range(10)]  # shown by new instances alone
+    docs += ["reach desk 06 888 4321 soon"]
+    spans = {r.doc_id: r.spans for r in P.personal_data(spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string")).collect()}
+    assert [spans[i] for i in range(60, 65)] == ["phone:12:23", "phone:12:26", "phone:12:23", "", ""]
+    assert all(spans[i] == "phone:12:23" for i in range(first, first + 10))
+    assert all(spans[i] == "phone:11:22" for i in range(first + 10, first + 21))
+
+
 def test_main_path_is_native(spark):
     out = P.personal_data(spark.createDataFrame([(1, "a@b.c")], "doc_id long, text string"))
     assert "Python" not in out._jdf.queryExecution().executedPlan().toString()
