@@ -52,6 +52,9 @@ class Spec:
     strong: Sequence[str] = SOLAR
     exclude: Sequence[str] = OTHER_WORKS
     never: Sequence[str] = ()
+    never_in_page: Sequence[str] = ()
+    authority: str | None = None
+    other_authorities: Sequence[str] = ()
     needed_with_exclude: Sequence[str] = ()
     min_mw: float | None = None
     since: str | None = None
@@ -75,7 +78,7 @@ SPECS = {s.name: s for s in (
     Spec("lombardia", "Lombardia", "cells", _CELLS, keywords=("fotovolta", "agrivolta", "agrovolta", "solare", *STORAGE), strong=("fotovolta", "agrivolta", "agrovolta"), exclude=("idroelettrico", "idropotabile", "acquedotto", "allevamento", "rifiuti", "discarica", "cava"), needed_with_exclude=("potenza",)),
     Spec("sicilia", "Sicilia", "cells", _CELLS, keywords=(*SOLAR, *PLANT, *STORAGE), never=BUILDINGS, exclude=()),
     Spec("puglia", "Puglia", "cells", _CELLS, keywords=(*SOLAR, "solare"), exclude=()),
-    Spec("sistema_puglia_energia", "Puglia", "lines", _LINES, keywords=(*SOLAR, "fonte solare"), never=("eolico", "eolica", "offshore", "efficientamento energetico", "edilizia ospedaliera", "elettrodotto")),
+    Spec("sistema_puglia_energia", "Puglia", "lines", _LINES, keywords=(*SOLAR, "fonte solare"), never=("eolico", "eolica", "offshore", "efficientamento energetico", "edilizia ospedaliera", "elettrodotto"), never_in_page=("gli atti della settimana",)),
     Spec("lazio", "Lazio", "lines", _LINES, keywords=(*SOLAR, *PLANT, *STORAGE)),
     Spec("sardegna", "Sardegna", "table", _TABLE, keywords=(*SOLAR, *PLANT, "fv ", *STORAGE)),
     Spec("toscana", "Toscana", "cells", _CELLS, keywords=(*SOLAR, "impianto fv", *STORAGE), since="2025-01-01"),
@@ -83,7 +86,7 @@ SPECS = {s.name: s for s in (
     Spec("piemonte", "Piemonte", "table", _TABLE, exclude=(), since="2023-01-01"),
     Spec("campania", "Campania", "table", {**_TABLE, "date": ("data di presentazione",)}, since="2025-01-01", keep_undated=False),
     Spec("calabria", "Calabria", "lines", _LINES, keywords=(*SOLAR, *PLANT), never=(*JOB_NOTICES, *LAND_NOTICES, "tettoia", "su edificio", "su copertura"), min_mw=5.0, since="2025-01-01", keep_undated=False, required=("proponent",), drop_negative=True),
-    Spec("umbria", "Umbria", "lines", _LINES, never=("eolico", "eolica"), min_mw=5.0, required=("municipality",), provinces=("PG", "TR")),
+    Spec("umbria", "Umbria", "lines", _LINES, never=("eolico", "eolica"), min_mw=5.0, required=("municipality",), provinces=("PG", "TR"), authority="Regione Umbria", other_authorities=("Ministero Ambiente", "Regione Toscana", "Regione Marche")),
     Spec("basilicata", "Basilicata", "table", _TABLE, keywords=(*SOLAR, "fotovo", "fonte solare", "impianto fv"), never=OTHER_WORKS, min_mw=5.0, required=("proponent", "municipality"), provinces=("PZ", "MT")),
 )}
 
@@ -114,7 +117,7 @@ def _parse(landed: DataFrame, spec: Spec) -> DataFrame:
         return each.select((F.col("row_idx") * 1_000_000 + F.col("__at")).alias("row_idx"), "source_url", *((get(spec.labels[f]) if f in spec.labels else null).alias(f) for f in FIELDS))
     lines = F.col("page.lines")
     find = lambda names: text.first_present(*(value_in_lines(lines, [n]) for n in names))
-    named = pages.select("row_idx", F.col("url").alias("source_url"), F.col("page.title").alias("__title"), *((find(spec.labels[f]) if f in spec.labels else null).alias(f) for f in FIELDS))
+    named = pages.select("row_idx", F.col("url").alias("source_url"), F.col("page.title").alias("__title"), F.concat_ws(" ", "page.title", lines).alias("page_text"), *((find(spec.labels[f]) if f in spec.labels else null).alias(f) for f in FIELDS))
     return named.withColumn("title", text.first_present(F.col("title"), F.col("__title"))).drop("__title")
 
 
@@ -133,6 +136,14 @@ def _gates(spec: Spec, as_of: Column | None) -> list[tuple[str, Column]]:
         if as_of is not None:
             authorised = ~F.contains(status, F.lit("in iter"))
             gates += [("authorized_missing_last_act_date", authorised & F.col("day").isNull()), ("authorized_last_act_older_24_months", authorised & (F.col("day") < F.add_months(as_of, -24)))]
+    if spec.never_in_page:
+        gates.insert(0, ("roundup", F.coalesce(contains_any(text.key_words(F.col("page_text")), spec.never_in_page), F.lit(False))))
+    if spec.authority:
+        has = lambda name: F.contains("page_text", F.lit(name))
+        other = F.lit(False)
+        for name in spec.other_authorities:
+            other = other | has(name)
+        gates.insert(0, ("other_authority", F.coalesce(other & ~has(spec.authority), F.lit(False))))
     if spec.drop_negative:
         gates.append(("negative_outcome", contains_any(folded, NEGATIVE) & ~contains_any(folded, NOT_NEGATIVE)))
     if spec.since:

@@ -34,6 +34,20 @@ def test_lines_source_needs_date_size_and_company(spark):
     assert rejected == {"Fotovoltaico B": "too_small", "Fotovoltaico C": "too_old", "Fotovoltaico D parere negativo": "negative_outcome", "Collocamento mirato installatore fotovoltaico": "not_relevant", "Fotovoltaico E": "no_proponent"}
 
 
+def test_weekly_roundups_are_rejected(spark):
+    page = lambda note: f"<html><body><p>Titolo: Impianto fotovoltaico {note[:3]}</p><p>{note}</p></body></html>"
+    kept, rejected = run(spark, "sistema_puglia_energia", [("u/11", page("Uno: autorizzazione unica"), None), ("u/12", page("Due: Gli  atti della Settimana, n. 3"), None)])
+    assert [r.title for r in kept] == ["Impianto fotovoltaico Uno"]
+    assert rejected == {"Impianto fotovoltaico Due": "roundup"}
+
+
+def test_authority_must_be_the_own_region(spark):
+    page = lambda name, authority: f"<html><body><p>Titolo: Impianto fotovoltaico {name}</p><p>Proponente: Sole srl</p><p>Comune: Terni</p><p>Provincia: TR</p><p>Potenza: 9 MW</p><p>{authority} In corso</p></body></html>"
+    kept, rejected = run(spark, "umbria", [("u/11", page("Uno", "Regione Umbria"), None), ("u/12", page("Due", "Regione Toscana"), None), ("u/13", page("Tre", ""), None), ("u/14", page("Quattro", "Ministero Ambiente"), None)])
+    assert sorted(r.title for r in kept) == ["Impianto fotovoltaico Tre", "Impianto fotovoltaico Uno"]
+    assert rejected == {"Impianto fotovoltaico Due": "other_authority", "Impianto fotovoltaico Quattro": "other_authority"}
+
+
 def test_cells_and_years(spark):
     rows = [("u", None, {"Oggetto": "Impianto agrivoltaico Sole", "Data": "2025", "Comune": "Lucca; Pisa, Lucca"}), ("u2", None, {"Oggetto": "Impianto agrivoltaico Luna", "Data": "2024"}), ("u3", None, {"Titolo": "Impianto agrivoltaico senza data"})]
     kept, rejected = run(spark, "toscana", rows)
