@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import atexit
 import contextlib
-import tempfile
+import re
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -39,19 +39,26 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder for intermediate tables: spark.checkpoint.dir, or, where that is unset, one of our own."""
+    """The folder for intermediate tables, which spark.checkpoint.dir names; without one, in local mode alone, Spark's own folder serves.
+
+    On a cluster, a folder of one machine would hide what the others write, so there the setting must be there.
+    """
     named = spark.sparkContext.getConf().get("spark.checkpoint.dir", "") or spark.conf.get("spark.checkpoint.dir", "")
     if not named:
         own = spark.sparkContext._jsc.sc().getCheckpointDir()
         named = own.get() if own.isDefined() else ""
     if not named:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        import tempfile
+
         named = f"file://{tempfile.mkdtemp(prefix='rillstone-')}"
         spark.sparkContext.setCheckpointDir(named)
     return f"{named.rstrip('/')}/rillstone-{spark.sparkContext.applicationId}"
 
 
 def new_path(spark: SparkSession, name: str) -> str:
-    """A fresh path in the shared folder; it is deleted when the driver ends."""
+    """A fresh path in the shared folder; it is deleted when the driver ends, or by release()."""
     path = f"{shared_dir(spark)}/{uuid.uuid4().hex[:12]}-{name}"
     if not _written:
         atexit.register(_clean)
@@ -72,6 +79,27 @@ def _clean() -> None:
             delete_path(*_written.pop())
 
 
+def release(*tables: DataFrame) -> None:
+    """Delete materialized tables that nothing reads any more: what was made of them is written. Other DataFrames are left alone."""
+    for df in tables:
+        path = getattr(df, "_rillstone_path", None)
+        found = [x for x in _written if x[1] == path]
+        for x in found:
+            _written.remove(x)
+            delete_path(*x)
+
+
+@contextlib.contextmanager
+def scratch():
+    """Tables that are materialized inside are deleted at the end, but for those handed to what this yields."""
+    before, kept = {path for _, path in _written}, []
+    yield lambda df: kept.append(df) or df
+    stay = {getattr(df, "_rillstone_path", None) for df in kept}
+    for spark, path in [x for x in _written if x[1] not in before and x[1] not in stay]:
+        _written.remove((spark, path))
+        delete_path(spark, path)
+
+
 def materialize(df: DataFrame, name: str, rows: int | None = None) -> DataFrame:
     """Write df to the shared folder and read it back: lineage ends here, and the size is known from then on.
 
@@ -83,7 +111,9 @@ def materialize(df: DataFrame, name: str, rows: int | None = None) -> DataFrame:
         df = df.repartition(rows // ROWS_PER_FILE + 1)
     path = new_path(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._rillstone_path = path
+    return out
 
 
 def arrow_rows(spark: SparkSession, rows: int = ARROW_ROWS) -> None:

@@ -2,26 +2,38 @@
 
 A document's set is that of its distinct 5-word shingles, as 64-bit hashes.
 Documents of equal sets are one node. Of each node, PERMUTATIONS minima are
-taken; each of TREES orders writes some of them one after another and sorts
-all nodes by that. Nodes that agree on a long prefix stand together, so a
-node's candidates are its next WIDTH nodes in each order, as long as they
-agree on MIN_DEPTH minima. How deep the agreement of neighbours goes adapts to
-the region: where many nodes agree, neighbours agree on more.
-
-Orders are made by range partitioning, so a region of a third of all nodes is
-cut into many partitions; rows at the cuts are compared once more. Candidates
-are confirmed on full sets: first each node's best one, which joins most of
-what belongs together, then those between different components. If a crowded
-region still shows candidates that aren't linked, the components concerned
-are sorted once more in fresh orders, until that gives no new link. Regions
-that are open even then are finished exactly: their nodes are dealt to tiles,
-and a tile compares the full sets of all its nodes of different components.
-There is no cap on a region's size; the work of the last step grows with its
-square.
+taken; each order writes some of them one after another and sorts all nodes by
+that. Nodes that agree on a long prefix stand together; those that agree on
+MIN_DEPTH minima make a run. A node's candidates are the next nodes of its
+run, of another component. How deep the agreement of neighbours goes adapts
+to the region: where many nodes agree, neighbours agree on more.
+
+A few orders, of which only adjacent nodes are compared, come first. They join
+most of what belongs together, so in the TREES orders that follow, the bulk of
+a large group is one component and gives no candidates any more. Candidates
+are confirmed on full sets, first the best one of each component, then, with
+the components that this made, the best of each of those, and at last all that
+are left between different components. So a group of copies costs about as
+many comparisons as it has members.
+
+A run that goes on beyond the neighbours looked at, and has several
+components, is open. Open runs with a component in common make a region,
+which is finished exactly: its nodes are dealt to tiles, by size; a tile
+compares the signatures of all its nodes of different components, and of those
+that may be alike the full sets. There is no cap on a region's size; the work
+of this last step grows with its square, its rows don't.
+
+Orders are made by range partitioning, so a run of a third of all nodes is cut
+into many partitions; rows at the cuts are compared once more, and the parts
+of a cut run are put together by its prefix.
 
 Null or empty texts, and those without words, have empty sets and are linked
-with nothing. Repeated rows are linked. doc_id must be an integer; extra
-columns are ignored by :func:`near_duplicates` and kept by :func:`keep`.
+with nothing. Repeated rows are linked. Rows with a null doc_id can't be named:
+they are linked with nothing, have no component and are kept. If rows of one
+doc_id have different texts, all get the id's component, and the text with the
+smallest key of its set stands for the id. doc_id must be an integer; other
+types raise. Extra columns are ignored by :func:`near_duplicates` and kept by
+:func:`keep`.
 """
 
 from __future__ import annotations
@@ -36,8 +48,9 @@ import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from .common import arrow_rows, materialize, restrict
+from .common import BROADCAST_ROWS, arrow_rows, materialize, release, restrict
 from .components import components, union_find
 
 SHINGLE = 5
@@ -45,8 +58,14 @@ SHINGLE = 5
 PERCENT = 75
 PERMUTATIONS = 128
 #: Orders, minima that neighbours must agree on, minima that an order sorts by, and neighbours that are looked at.
-#: With these, a pair at 0.75 is missed by all orders once in 190,000 times, if nothing stands between the two.
+#: With these, a pair at 0.75 is in no common run once in 190,000 times; all pairs of a run are looked at, or it is open.
 TREES, MIN_DEPTH, MAX_DEPTH, WIDTH = 32, 4, 12, 3
+#: Orders that come first, of which adjacent nodes are looked at.
+FIRST_TREES = 4
+#: Rounds in which each component's best candidate is confirmed, before all others are.
+BEST_ROUNDS = 3
+#: Signatures of a link agree on so many minima at least: a pair at 0.75 has fewer once in a hundred million times.
+LEAST_EQUAL = 68
 #: Bytes of a text that are split into words at once.
 BLOCK = 1 << 22
 #: A row with a signature counts as so many rows of numbers, where files are counted.
@@ -55,8 +74,8 @@ WIDE = 8
 TILE_NODES, TILE_SHINGLES, TILE_COLUMNS = 2048, 2_000_000, 2048
 #: Sizes of sets are put into bands by powers of this, a bit more than 100 / PERCENT: links lie within a band or between two adjacent ones.
 BAND = 1.34
-#: Rows of a partition of the orders, at least about so many.
-ROWS_PER_PARTITION = 20_000
+#: Rows of a partition of the orders, at least and at most about so many.
+ROWS_PER_PARTITION, MOST_PER_PARTITION = 20_000, 1_000_000
 
 _SPACE = re.compile(rb"[\x20\x09-\x0D]")
 _rng = np.random.default_rng(20240101)
@@ -130,16 +149,16 @@ def _binary(rows: np.ndarray) -> pa.Array:
     return pa.Array.from_buffers(pa.binary(), len(rows), [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(rows.tobytes())])
 
 
-ORDER_ROWS = "tree int, key binary, doc_id long, n long"
+ORDER_ROWS = "tree int, key binary, doc_id long, n long, component long"
 
 
-def _orders(turn: int):
+def _orders(turn: int, trees: int):
     """A function that gives each node's key in each tree; every turn has orders of its own."""
     rng = np.random.default_rng(1000 + turn)
     take = []
-    for _ in range(-(-TREES * MIN_DEPTH // PERMUTATIONS)):
+    for _ in range(-(-trees * MIN_DEPTH // PERMUTATIONS)):
         take += list(rng.permutation(PERMUTATIONS))
-    firsts = np.array(take[: TREES * MIN_DEPTH]).reshape(TREES, MIN_DEPTH)
+    firsts = np.array(take[: trees * MIN_DEPTH]).reshape(trees, MIN_DEPTH)
     places = np.array([[*f, *[p for p in rng.permutation(PERMUTATIONS) if p not in f][: MAX_DEPTH - MIN_DEPTH]] for f in firsts])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -147,94 +166,142 @@ def _orders(turn: int):
             n = batch.num_rows
             if not n:
                 continue
-            signs = np.frombuffer(b"".join(x.as_py() for x in batch.column("signature")), ">u2").reshape(n, PERMUTATIONS)
-            keys = signs[:, places].reshape(n * TREES, MAX_DEPTH)
-            ids, sizes = (np.repeat(np.asarray(batch.column(c).to_numpy(zero_copy_only=False), np.int64), TREES) for c in ("doc_id", "n_shingles"))
-            yield pa.RecordBatch.from_arrays([pa.array(np.tile(np.arange(TREES, dtype=np.int32), n)), _binary(keys), pa.array(ids), pa.array(sizes)], ["tree", "key", "doc_id", "n"])
+            signs = _matrix(batch.column("signature"), PERMUTATIONS)
+            keys = signs[:, places].reshape(n * trees, MAX_DEPTH)
+            own = [pa.array(np.repeat(_longs(batch.column(c)), trees)) for c in ("doc_id", "n_shingles", "component")]
+            yield pa.RecordBatch.from_arrays([pa.array(np.tile(np.arange(trees, dtype=np.int32), n)), _binary(keys), *own], ["tree", "key", "doc_id", "n", "component"])
 
     return run
 
 
-NEAR_ROWS = "a long, b long, depth int, crowded boolean, fits boolean, tree int, key binary, n long, part int"
+def _longs(column) -> np.ndarray:
+    return np.asarray(column.to_numpy(zero_copy_only=False), np.int64)
 
 
-def _neighbours(across: bool):
-    """A function that gives pairs of sorted rows that stand near and agree on MIN_DEPTH minima, and the partition's outer rows (b null).
+def _matrix(column, width: int) -> np.ndarray:
+    """Binary values of one length as rows of a matrix."""
+    return np.frombuffer(b"".join(x.as_py() for x in column), ">u2").reshape(len(column), width)
 
-    crowded tells that the region goes on beyond the neighbours looked at, and
-    fits that the sizes allow a link; pairs that don't fit are given where they
-    hold a region together or show that it goes on. With
-    across, the rows are outer rows of all partitions, in order; pairs within
-    a partition are left out, as they were found there.
-    """
-    names = [f.split()[0] for f in NEAR_ROWS.split(", ")]
 
-    def outer(tree, key, ids, n, _) -> pa.RecordBatch:
+#: What a partition of an order gives: PAIR candidates; OUTER rows, for pairs across cuts; EDGEs between components of an open run; and of
+#: runs that may be cut, a PART for each component (n counts the part's nodes, once).
+PAIR, OUTER, EDGE, PART = range(4)
+NEAR = pa.schema([("what", pa.int32()), ("a", pa.int64()), ("b", pa.int64()), ("depth", pa.int32()), ("ca", pa.int64()), ("cb", pa.int64()), ("n", pa.int64()), ("tree", pa.int32()), ("key", pa.binary()), ("part", pa.int32())])
+NEAR_ROWS = "what int, a long, b long, depth int, ca long, cb long, n long, tree int, key binary, part int"
+
+
+def _near(what: int, size: int, **columns) -> pa.RecordBatch:
+    columns["what"] = np.full(size, what, np.int32)
+    return pa.RecordBatch.from_arrays([(x if isinstance(x, pa.Array) else pa.array(x, f.type)) if (x := columns.get(f.name)) is not None else pa.nulls(size, f.type) for f in NEAR], schema=NEAR)
+
+
+def _pairs(rows: list[np.ndarray], width: int, part: np.ndarray | None = None) -> Iterator[pa.RecordBatch]:
+    """Candidates among sorted rows; with part, only those of different partitions."""
+    tree, key, ids, n, component = rows
+    for step in range(1, width + 1):
+        if len(ids) <= step:
+            break
+        good = (tree[step:] == tree[:-step]) & (key[step:, :MIN_DEPTH] == key[:-step, :MIN_DEPTH]).all(axis=1) & (component[step:] != component[:-step])
+        small, large = np.minimum(n[step:], n[:-step]), np.maximum(n[step:], n[:-step])
+        good &= 100 * small >= PERCENT * large
+        if part is not None:
+            good &= part[step:] != part[:-step]
+        x = np.flatnonzero(good)
+        y = x + step
+        depth = np.cumprod(key[x] == key[y], axis=1, dtype=np.int32).sum(axis=1, dtype=np.int32)
+        x, y = np.where(ids[x] < ids[y], x, y), np.where(ids[x] < ids[y], y, x)
+        if len(x):
+            yield _near(PAIR, len(x), a=ids[x], b=ids[y], depth=depth, ca=component[x], cb=component[y])
+
+
+def _read(batches: Iterator[pa.RecordBatch]) -> tuple[list[np.ndarray], pa.Table] | None:
+    table = [b for b in batches if b.num_rows]
+    if not table:
+        return None
+    table = pa.Table.from_batches(table)
+    return [table.column("tree").to_numpy(), _matrix(table.column("key"), MAX_DEPTH), *(table.column(c).to_numpy() for c in ("doc_id", "n", "component"))], table
+
+
+def _neighbours(width: int, closing: bool):
+    """A function that looks at one partition of the orders: its candidates and outer rows, and with closing the components of open runs."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        if (found := _read(batches)) is None:
+            return
+        rows, _ = found
+        tree, key, ids, n, component = rows
         m = len(ids)
-        part = np.full(m, TaskContext.get().partitionId(), np.int32)
-        return pa.RecordBatch.from_arrays([pa.array(ids), pa.nulls(m, pa.int64()), pa.nulls(m, pa.int32()), pa.nulls(m, pa.bool_()), pa.nulls(m, pa.bool_()), pa.array(tree), _binary(key), pa.array(n), pa.array(part)], names)
+        yield from _pairs(rows, width)
+        part = TaskContext.get().partitionId()
+        outer = np.arange(m) if m <= 2 * width else np.r_[0:width, m - width : m]
+        yield _near(OUTER, len(outer), a=ids[outer], ca=component[outer], n=n[outer], tree=tree[outer], key=_binary(key[outer]), part=np.full(len(outer), part, np.int32))
+        if not closing:
+            return
+        new = np.r_[True, (tree[1:] != tree[:-1]) | (key[1:, :MIN_DEPTH] != key[:-1, :MIN_DEPTH]).any(axis=1)]
+        first, run_of = np.flatnonzero(new), np.cumsum(new) - 1
+        sizes = np.diff(np.r_[first, m])
+        least, most = np.minimum.reduceat(component, first), np.maximum.reduceat(component, first)
+        cut = np.zeros(len(first), bool)
+        cut[[0, -1]] = True
+        inside = ((sizes > width + 1) & (least != most) & ~cut)[run_of] & (component != least[run_of])
+        edges = np.unique(np.stack([least[run_of][inside], component[inside]], axis=1), axis=0)
+        if len(edges):
+            yield _near(EDGE, len(edges), a=edges[:, 0], b=edges[:, 1])
+        for r in np.flatnonzero(cut):
+            own = np.unique(component[first[r] : first[r] + sizes[r]])
+            k = len(own)
+            yield _near(PART, k, a=own, n=np.r_[sizes[r], np.zeros(k - 1, np.int64)], tree=np.full(k, tree[first[r]], np.int32), key=pa.array([key[first[r], :MIN_DEPTH].tobytes()] * k, pa.binary()))
+
+    return run
+
+
+def _across(width: int):
+    """A function that gives the candidates among the outer rows of all partitions, in order, that stand in different ones."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, seen = None, 0
-        for batch in batches:
-            m = batch.num_rows
-            if not m:
-                continue
-            key = np.frombuffer(b"".join(x.as_py() for x in batch.column("key")), ">u2").reshape(m, MAX_DEPTH)
-            part = batch.column("part").to_numpy() if across else np.zeros(m, np.int32)
-            rows = [batch.column("tree").to_numpy(), key, batch.column("doc_id").to_numpy(), batch.column("n").to_numpy(), part]
-            if seen < WIDTH and not across:
-                yield outer(*(x[: WIDTH - seen] for x in rows))
-            carried = 0
-            if held is not None:
-                carried = len(held[2])
-                rows = [np.concatenate([h, r]) for h, r in zip(held, rows, strict=True)]
-            tree, key, ids, n, part = rows
-            for step in range(1, WIDTH + 1):
-                if len(ids) <= step:
-                    break
-                first = max(0, carried - step)  # pairs within the rows carried over were made before
-                same = (key[step:] == key[:-step]) & (tree[step:] == tree[:-step])[:, None]
-                depth = np.cumprod(same, axis=1, dtype=np.int32).sum(axis=1)
-                small, large = np.minimum(n[step:], n[:-step]), np.maximum(n[step:], n[:-step])
-                fits = 100 * small >= PERCENT * large
-                good = (depth >= MIN_DEPTH) & (ids[step:] != ids[:-step])
-                if step not in (1, WIDTH):
-                    good &= fits
-                if across:
-                    good &= part[step:] != part[:-step]
-                good[:first] = False
-                at = np.flatnonzero(good)
-                k = len(at)
-                if k:
-                    x, y = ids[:-step][at], ids[step:][at]
-                    yield pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y)), pa.array(depth[at].astype(np.int32)), pa.array(np.full(k, step == WIDTH)), pa.array(fits[at]), *(pa.nulls(k, z) for z in (pa.int32(), pa.binary(), pa.int64(), pa.int32()))], names)
-            held = [x[-WIDTH:] for x in rows]
-            seen += m
-        if held is not None and seen > WIDTH and not across:
-            last = min(WIDTH, seen - WIDTH)  # the first rows were given already
-            yield outer(*(x[-last:] for x in held))
+        if (found := _read(batches)) is not None:
+            yield from _pairs(found[0], width, found[1].column("part").to_numpy())
 
     return run
 
 
-def candidates(nodes: DataFrame, turn: int = 0) -> DataFrame:
-    """a, b, votes (orders in which they are neighbours), depth, crowded and fits of each candidate pair, materialized.
+def with_component(df: DataFrame, key: str, labels: DataFrame | None, name: str = "component") -> DataFrame:
+    """df with the component of the node in key, which is itself where no link is known. labels are broadcast up to a checked number."""
+    if labels is None:
+        return df.withColumn(name, F.col(key))
+    own = labels.select(F.col("node").alias(key), F.col("component").alias("__component"))
+    own = F.broadcast(own) if labels.limit(BROADCAST_ROWS // 2 + 1).count() <= BROADCAST_ROWS // 2 else own
+    return df.join(own, key, "left").withColumn(name, F.coalesce("__component", key)).drop("__component")
+
+
+def candidates(nodes: DataFrame, labels: DataFrame | None, turn: int, trees: int, width: int, closing: bool) -> tuple[DataFrame, DataFrame | None]:
+    """Candidate pairs a, b with ca, cb (their components), votes (orders in which they are near) and depth; and with closing, edges (a, b) between components of open runs. Materialized.
 
     nodes has doc_id, n_shingles and signature.
     """
     spark = nodes.sparkSession
-    n = nodes.count() * TREES
-    arrow_rows(spark, 1000)
-    parts = max(1, min(int(spark.conf.get("spark.sql.shuffle.partitions")), n // ROWS_PER_PARTITION))
-    rows = nodes.select("doc_id", "n_shingles", "signature").mapInArrow(_orders(turn), ORDER_ROWS)
+    n = nodes.count() * trees
+    arrow_rows(spark, 2000)
+    parts = max(1, n // MOST_PER_PARTITION, min(int(spark.conf.get("spark.sql.shuffle.partitions")), n // ROWS_PER_PARTITION))
+    named = with_component(nodes.select("doc_id", "n_shingles", "signature"), "doc_id", labels)
+    rows = named.mapInArrow(_orders(turn, trees), ORDER_ROWS)
     by = ("tree", "key", "doc_id")
-    near = materialize(rows.repartitionByRange(parts, *by).sortWithinPartitions(*by).mapInArrow(_neighbours(False), NEAR_ROWS), "near", n)
-    cut = near.where("b is null").select("tree", "key", F.col("a").alias("doc_id"), "n", "part")
-    across = cut.repartition(1).sortWithinPartitions(*by).mapInArrow(_neighbours(True), NEAR_ROWS)
-    pairs = near.where("b is not null").unionByName(across)
-    votes = pairs.groupBy("a", "b").agg(F.count("*").alias("votes"), F.max("depth").alias("depth"), F.max("crowded").alias("crowded"), F.max("fits").alias("fits"))
-    return materialize(votes, "candidates", near.count())
+    near = materialize(rows.repartitionByRange(parts, *by).sortWithinPartitions(*by).mapInArrow(_neighbours(width, closing), NEAR_ROWS), "near", n)
+    cut = near.where(F.col("what") == OUTER).select("tree", "key", F.col("a").alias("doc_id"), "n", F.col("ca").alias("component"), "part")
+    across = cut.repartition(1).sortWithinPartitions(*by).mapInArrow(_across(width), NEAR_ROWS)  # six rows of each partition at most
+    pairs = near.where(F.col("what") == PAIR).unionByName(across)
+    votes = pairs.groupBy("a", "b").agg(F.min("ca").alias("ca"), F.min("cb").alias("cb"), F.count("*").alias("votes"), F.max("depth").alias("depth"))
+    seen = near.count()
+    votes = materialize(votes, "candidates", seen)
+    edges = None
+    if closing:
+        part = near.where(F.col("what") == PART).select("tree", "key", F.col("a").alias("component"), "n")
+        runs = part.groupBy("tree", "key").agg(F.sum("n").alias("n"), F.min("component").alias("least"), F.max("component").alias("most")).where((F.col("n") > width + 1) & (F.col("least") != F.col("most")))
+        more = part.join(runs.select("tree", "key", F.col("least").alias("a")), ["tree", "key"]).where("component <> a").select("a", F.col("component").alias("b"))
+        edges = near.where(F.col("what") == EDGE).select("a", "b").unionByName(more).distinct()
+        edges = materialize(edges, "open-runs", seen)
+    release(near)
+    return votes, edges
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -245,43 +312,113 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.ListArray.from_arrays(pa.array(offsets), values)], ["doc_id", "hashes"])
 
 
-def full_sets(docs: DataFrame, pairs: DataFrame, n: int) -> DataFrame:
-    """doc_id and hashes of the documents in the n pairs, materialized."""
-    return sets_of(docs, materialize(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "pair-ids", 2 * n))
+class FullSets:
+    """doc_id and hashes of documents that were asked for so far; each is made once."""
+
+    def __init__(self, docs: DataFrame):
+        self.docs, self.parts = docs, []
 
+    def of(self, ids: DataFrame) -> DataFrame:
+        """The sets made so far, among them those of ids, which are materialized and distinct."""
+        wanted = ids
+        for part in self.parts:
+            wanted = wanted.join(part.select("doc_id"), "doc_id", "left_anti")
+        wanted = materialize(wanted, "wanted-sets", ids.count()) if self.parts else ids
+        if wanted.limit(1).count():
+            arrow_rows(self.docs.sparkSession)
+            rows = restrict(self.docs.select("doc_id", "text"), wanted, "doc_id", True).mapInArrow(_sets, "doc_id long, hashes array<long>")
+            self.parts.append(materialize(rows, "sets"))
+        if self.parts and wanted is not ids:
+            release(wanted)
+        out = self.parts[0]
+        for part in self.parts[1:]:
+            out = out.unionByName(part)
+        return out
 
-def sets_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """doc_id and hashes of the documents in ids, which are materialized; materialized."""
-    arrow_rows(docs.sparkSession)
-    rows = restrict(docs.select("doc_id", "text"), ids, "doc_id", True).mapInArrow(_sets, "doc_id long, hashes array<long>")
-    return materialize(rows, "sets")
+    def release(self) -> None:
+        release(*self.parts)
+        self.parts = []
 
 
-def confirm(pairs: DataFrame, sets: DataFrame, n: int) -> DataFrame:
+def confirm(pairs: DataFrame, sets: FullSets, n: int) -> DataFrame:
     """The pairs, n at most, with linked: whether their full sets are alike enough. Materialized.
 
-    A node is in 2 * WIDTH * TREES pairs of a turn at most, so no key is hot.
+    A node is in 2 * WIDTH * TREES pairs at most, so no key is hot.
     """
-    a, b = (sets.select(F.col("doc_id").alias(x), F.col("hashes").alias(f"h{x}")) for x in "ab")
+    ids = materialize(pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id"))).distinct(), "pair-ids", 2 * n)
+    all_sets = restrict(sets.of(ids), ids, "doc_id", True)
+    a, b = (all_sets.select(F.col("doc_id").alias(x), F.col("hashes").alias(f"h{x}")) for x in "ab")
     both = pairs.join(a, "a").join(b, "b").withColumn("__shared", F.size(F.array_intersect("ha", "hb")).cast("long"))
     union = F.size("ha") + F.size("hb") - F.col("__shared")
-    return materialize(both.select(*pairs.columns, (100 * F.col("__shared") >= PERCENT * union).alias("linked")), "confirmed", n)
-
+    out = materialize(both.select(*pairs.columns, (100 * F.col("__shared") >= PERCENT * union).alias("linked")), "confirmed", n)
+    release(ids)
+    return out
 
-def _labelled(pairs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The pairs with ca and cb, the components of their ends."""
-    for x in "ab":
-        own = labels.select(F.col("node").alias(x), F.col("component").alias(f"__c{x}"))
-        pairs = pairs.join(own, x, "left").withColumn(f"c{x}", F.coalesce(f"__c{x}", x)).drop(f"__c{x}")
-    return pairs
 
-
-def _joined(labels: DataFrame, links: DataFrame, n: int) -> DataFrame:
+def _joined(labels: DataFrame | None, links: DataFrame, n: int) -> DataFrame:
     """The labels after further links (a, b) between components."""
-    more = components(links).select(F.col("node").alias("component"), F.col("component").alias("__to"))
+    found = components(links)
+    if labels is None:
+        return found
+    more = found.select(F.col("node").alias("component"), F.col("component").alias("__to"))
     old = labels.join(more, "component", "left").select("node", F.coalesce("__to", "component").alias("component"))
     fresh = more.join(labels.select(F.col("node").alias("component")), "component", "left_anti").select(F.col("component").alias("node"), F.col("__to").alias("component"))
-    return materialize(old.unionByName(fresh), "labels", n)
+    out = materialize(old.unionByName(fresh), "labels", n)
+    release(labels, found)
+    return out
+
+
+def _plausible(pairs: DataFrame, nodes: DataFrame, n: int) -> DataFrame:
+    """The pairs, n at most, whose signatures agree as those of a link do. Materialized."""
+    a, b = (nodes.select(F.col("doc_id").alias(x), F.col("signature").alias(f"s{x}")) for x in "ab")
+    arrow_rows(nodes.sparkSession, 2000)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                x, y = (_matrix(batch.column(c), PERMUTATIONS) for c in ("sa", "sb"))
+                alike = (x == y).sum(axis=1) >= LEAST_EQUAL
+                yield batch.filter(pa.array(alike)).drop_columns(["sa", "sb"])
+
+    both = pairs.join(a, "a").join(b, "b").select(*pairs.columns, "sa", "sb")
+    return materialize(both.mapInArrow(run, pairs.schema), "plausible", n)
+
+
+def contract(pairs: DataFrame, labels: DataFrame | None, sets: FullSets, nodes: DataFrame) -> DataFrame | None:
+    """The labels after all links among the candidate pairs that join components.
+
+    In each of BEST_ROUNDS rounds, the best pair of each component is
+    confirmed, and what it joins needs no other pair; the last round confirms
+    all that are left between different components.
+    """
+    n, at = pairs.count(), nodes.count()
+    rest = _plausible(pairs, nodes, n)
+    rounds = BEST_ROUNDS
+    while n := rest.count():
+        todo, rounds = rest, rounds - 1
+        if rounds >= 0:
+            ends = rest.select(F.col("ca").alias("component"), *rest.columns).unionByName(rest.select(F.col("cb").alias("component"), *rest.columns))
+            best = ends.groupBy("component").agg(F.max(F.struct("votes", "depth", "a", "b", "ca", "cb")).alias("x"))
+            todo = materialize(best.select("x.*").select(*rest.columns).distinct(), "best", n)
+            if 2 * todo.count() >= n:  # most are someone's best
+                release(todo)
+                todo, rounds = rest, -1
+        confirmed = confirm(todo, sets, n)
+        links = materialize(confirmed.where("linked").select(F.least("ca", "cb").alias("a"), F.greatest("ca", "cb").alias("b")).distinct(), "new-links", n)
+        if links.limit(1).count():
+            labels = _joined(labels, links, 2 * at)
+        else:
+            rounds = min(rounds, 0)
+        if todo is rest:
+            release(links, confirmed)
+            break
+        left = rest.join(confirmed.select("a", "b"), ["a", "b"], "left_anti")
+        left = with_component(with_component(left.drop("ca", "cb"), "a", labels, "ca"), "b", labels, "cb").where("ca <> cb")
+        left = materialize(left.select(*rest.columns), "rest", n)
+        release(rest, links, confirmed, todo)
+        rest = left
+    release(rest)
+    return labels
 
 
 def _tile(rows: pa.Table) -> pa.Table:
@@ -319,32 +456,38 @@ def _tile(rows: pa.Table) -> pa.Table:
     return pa.table({"a": to[to != node], "b": node[to != node]})
 
 
-def finish(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The labels after all links within open regions, found by comparing all nodes there whose sizes allow a link.
+def _alike_signatures(rows: pa.Table) -> pa.Table:
+    """The nodes (doc_id) of a tile whose signatures agree, as those of a link do, with one of another component on the other side."""
+    rows = rows.combine_chunks()
+    ids, side, component = (rows.column(c).to_numpy() for c in ("doc_id", "side", "component"))
+    signs = _matrix(rows.column("signature"), PERMUTATIONS)
+    left, right = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
+    right = right if len(right) else left
+    hit = np.zeros(len(ids), bool)
+    for x in np.array_split(left, max(1, len(left) // 256)):
+        equal = np.zeros((len(x), len(right)), np.uint8)
+        for p in range(PERMUTATIONS):
+            equal += signs[x, p][:, None] == signs[right, p][None, :]
+        alike = (equal >= LEAST_EQUAL) & (component[x][:, None] != component[right][None, :])
+        hit[x] |= alike.any(axis=1)
+        hit[right] |= alike.any(axis=0)
+    return pa.table({"doc_id": ids[hit]})
+
+
+def _placed(members: DataFrame, n: int) -> DataFrame:
+    """tile, side, component and doc_id: each pair of members of a region whose sizes allow a link meets in a tile. Materialized.
 
-    pairs are the candidates of all nodes. Nodes of a run that agree on
-    MIN_DEPTH minima are connected by them, so each pair of a run that no order
-    looked at lies in one region; a region is open if it goes on beyond the
-    neighbours looked at and shows two components there. A component that
+    members are n rows of node, region, component and n. A component that
     fills tiles of its own isn't compared with itself.
     """
-    n = pairs.count()
-    shown = _labelled(pairs.where("crowded").select("a", "b"), labels).where("ca <> cb").select(F.col("a").alias("node")).distinct()
-    shown = materialize(shown, "open-ends", n)
-    if not shown.limit(1).count():
-        return labels
-    regions = components(pairs.select("a", "b")).withColumnRenamed("component", "region")
-    open_regions = materialize(regions.join(shown, "node", "left_semi").select("region").distinct(), "open-regions", n)
-    members = regions.join(open_regions, "region", "left_semi").join(nodes.select(F.col("doc_id").alias("node"), F.col("n_shingles").alias("n")), "node")
-    members = members.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
     members = members.withColumn("band", F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(BAND))).cast("int"))
-    members = materialize(members.select("node", "region", "component", "band", "n"), "members", 2 * n)
     large = members.groupBy("region", "component").count().where(F.col("count") >= TILE_NODES).select("region", "component", F.lit(True).alias("large"))
     members = members.join(large, ["region", "component"], "left").withColumn("large", F.coalesce("large", F.lit(False)))
     members = members.withColumn("of", F.when(F.col("large"), F.col("component")).otherwise(F.lit(0).cast("long")))
+    members = materialize(members.select("node", "region", "component", "n", "band", "large", "of"), "members", n)
     cell = ["region", "large", "of", "band"]
     cells = members.groupBy(*cell).agg(F.ceil(F.greatest(F.count("*") / TILE_NODES, F.sum("n") / TILE_SHINGLES)).cast("long").alias("blocks"))
-    cells = materialize(cells, "cells", 2 * n)
+    cells = materialize(cells, "cells", n)
     blocks = cells.select(*cell, F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block"))
     own = F.struct("large", "of", "block")
     x = blocks.select("region", F.col("band").alias("xb"), own.alias("x"), F.explode(F.array(F.col("band"), F.col("band") + 1)).alias("yb"))
@@ -355,84 +498,99 @@ def finish(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, labels: DataFram
     sides = F.array(F.struct(F.col("xb").alias("band"), F.col("x").alias("own"), F.lit(0).alias("side")), F.struct(F.col("yb").alias("band"), F.col("y").alias("own"), F.lit(1).alias("side")))
     tiles = both.select("region", name.alias("tile"), F.explode(F.when(same, F.slice(sides, 1, 1)).otherwise(sides)).alias("s")).select("region", "tile", "s.band", "s.own.*", "s.side")
     placed = members.join(cells, cell).withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")))
-    placed = placed.join(tiles, [*cell, "block"]).select("tile", "side", "component", F.col("node").alias("doc_id"))
-    placed = materialize(placed, "placed")
-    sets = sets_of(docs, materialize(placed.select("doc_id").distinct(), "tile-ids", 2 * n))
-    rows = placed.join(sets, "doc_id").select("tile", "side", "component", "hashes")
-    links = materialize(rows.groupBy("tile").applyInArrow(_tile, "a long, b long").distinct(), "exact-links", 2 * n)
-    return _joined(labels, links, 2 * n) if links.limit(1).count() else labels
+    placed = materialize(placed.join(tiles, [*cell, "block"]).select("tile", "side", "component", F.col("node").alias("doc_id")), "placed")
+    release(members, cells)
+    return placed
+
+
+def finish(nodes: DataFrame, labels: DataFrame | None, edges: DataFrame, sets: FullSets) -> DataFrame | None:
+    """The labels after all links within open regions, found by comparing all nodes there whose sizes allow a link. edges join components of open runs."""
+    n, at = edges.count(), nodes.count()
+    if not n:
+        return labels
+    now = with_component(with_component(edges.select(F.col("a").alias("x"), F.col("b").alias("y")), "x", labels, "a"), "y", labels, "b").where("a <> b")
+    now = materialize(now.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "open-edges", n)
+    if not now.limit(1).count():
+        release(now)
+        return labels
+    found = components(now)
+    regions = found.select(F.col("node").alias("component"), F.col("component").alias("region"))
+    members = with_component(nodes.select(F.col("doc_id").alias("node"), F.col("n_shingles").alias("n")), "node", labels)
+    regions = F.broadcast(regions) if found.limit(BROADCAST_ROWS // 2 + 1).count() <= BROADCAST_ROWS // 2 else regions
+    members = materialize(members.join(regions, "component"), "open-nodes", at)
+    placed = _placed(members, at)
+    rows = placed.join(nodes.select("doc_id", "signature"), "doc_id").select("tile", "side", "component", "doc_id", "signature")
+    alike = materialize(rows.groupBy("tile").applyInArrow(_alike_signatures, "doc_id long").distinct(), "alike", at)
+    release(placed)
+    if alike.limit(1).count():
+        fewer = materialize(members.join(alike.withColumnRenamed("doc_id", "node"), "node", "left_semi"), "alike-nodes", at)
+        placed = _placed(fewer, at)
+        rows = placed.join(sets.of(alike), "doc_id").select("tile", "side", "component", "hashes")
+        links = materialize(rows.groupBy("tile").applyInArrow(_tile, "a long, b long").distinct(), "exact-links", at)
+        if links.limit(1).count():
+            labels = _joined(labels, links, 2 * at)
+        release(fewer, placed, links)
+    release(now, found, members, alike)
+    return labels
 
 
 def link(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     """node and component of the nodes that have a link. docs has the texts, nodes one row of each set."""
-    turn, labels, part, seen, first = 0, None, nodes, 0, None
-    while True:
-        pairs = candidates(part, turn)
-        first = pairs if first is None else first
-        pairs = pairs.where("fits")
-        n = pairs.count()
-        if not n:
-            break
-        seen += n
-        sets = full_sets(docs, pairs, n)
-        fresh = False
-        if labels is None:
-            ends = pairs.select(F.col("a").alias("node"), "a", "b", "votes", "depth").unionByName(pairs.select(F.col("b").alias("node"), "a", "b", "votes", "depth"))
-            best = ends.groupBy("node").agg(F.max(F.struct("votes", "depth", F.col("a"), F.col("b"))).alias("x")).select("x.a", "x.b").distinct()
-            confirmed = confirm(best, sets, n)
-            labels = components(confirmed.where("linked").select("a", "b"))
-            tried = confirmed.select("a", "b")
-            rest = _labelled(pairs.join(tried, ["a", "b"], "left_anti"), labels)
-            failed = confirmed.where("not linked").join(pairs.where("crowded").select("a", "b"), ["a", "b"])
-        else:
-            rest, failed = _labelled(pairs, labels), None
-        again = confirm(rest.where("ca <> cb").select("a", "b", "ca", "cb", "crowded"), sets, n)
-        links = materialize(again.where("linked").select(F.least("ca", "cb").alias("a"), F.greatest("ca", "cb").alias("b")).distinct(), "new-links", n)
-        if links.limit(1).count():
-            labels, fresh = _joined(labels, links, 2 * seen), True
-        open_pairs = again.where("crowded and not linked").select("a", "b")
-        if failed is not None:
-            open_pairs = open_pairs.unionByName(failed.select("a", "b"))
-        still = _labelled(open_pairs, labels).where("ca <> cb").select(F.explode(F.array("ca", "cb")).alias("component")).distinct()
-        still = materialize(still, "open", 2 * n)
-        if (turn and not fresh) or not still.limit(1).count():
-            break
-        members = labels.join(still, "component", "left_semi").select(F.col("node").alias("doc_id")).unionByName(still.select(F.col("component").alias("doc_id"))).distinct()
-        part = materialize(nodes.join(members, "doc_id", "left_semi"), "open-nodes", 2 * WIDE * seen)
-        turn += 1
-    if labels is None:
-        labels = docs.sparkSession.createDataFrame([], "node long, component long")
-    return finish(docs, nodes, first, labels)
+    sets = FullSets(docs)
+    pairs, _ = candidates(nodes, None, 1, FIRST_TREES, 1, False)
+    labels = contract(pairs, None, sets, nodes)
+    release(pairs)
+    pairs, edges = candidates(nodes, labels, 0, TREES, WIDTH, True)
+    labels = contract(pairs, labels, sets, nodes)
+    release(pairs)
+    labels = finish(nodes, labels, edges, sets)
+    release(edges)
+    sets.release()
+    return docs.sparkSession.createDataFrame([], "node long, component long") if labels is None else labels
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id and kept of each document."""
     spark = docs.sparkSession
+    if not isinstance(docs.schema["doc_id"].dataType, T.IntegralType):
+        raise TypeError(f"doc_id must be an integer, not {docs.schema['doc_id'].dataType.simpleString()}")
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     arrow_rows(spark)
-    signed = materialize(docs.mapInArrow(_sign, "doc_id long, n_shingles long, set_key binary, signature binary"), "signatures")
-    several = signed.where("set_key is not null").groupBy("set_key").agg(F.min("doc_id").alias("first"), F.count("*").alias("n")).where("n > 1").drop("n")
+    signed = signatures = materialize(docs.mapInArrow(_sign, "doc_id long, n_shingles long, set_key binary, signature binary"), "signatures")
     n = signed.count()
+    mixed = signed.where("doc_id is not null").groupBy("doc_id").agg(F.min("set_key").alias("least"), F.max("set_key").alias("most"), F.count_if(F.col("set_key").isNull()).alias("empty"))
+    mixed = mixed.where("least <> most or (least is not null and empty > 0)").select("doc_id", "least")
+    mixed = materialize(mixed, "ids-of-several-texts", n)
+    if mixed.limit(1).count():
+        both = signed.join(mixed, "doc_id", "left")
+        own = F.col("least").isNull() | F.col("set_key").eqNullSafe(F.col("least"))
+        signed = both.select("doc_id", "n_shingles", F.coalesce("least", "set_key").alias("set_key"), F.when(own, F.col("signature")).alias("signature"))
+    named = signed.where("set_key is not null and doc_id is not null")
+    several = named.where("signature is not null").groupBy("set_key").agg(F.min("doc_id").alias("first"), F.count("*").alias("n")).where("n > 1").drop("n")
     several = materialize(several, "equal-sets", n)
     ids = signed.select("doc_id", "n_shingles", "set_key")
     # the side of the equal sets has each key once; what a third of all documents share is split by adaptive execution
-    firsts = materialize(ids.join(several, "set_key", "left").select("doc_id", "n_shingles", F.coalesce("first", "doc_id").alias("first")), "firsts", n)
+    firsts = materialize(ids.join(several, "set_key", "left").select("doc_id", "n_shingles", "set_key", F.when(F.col("doc_id").isNotNull(), F.coalesce("first", "doc_id")).alias("first")), "firsts", n)
     others = materialize(firsts.where("first <> doc_id").select("doc_id").distinct(), "others", n)
-    nodes = restrict(signed.where("set_key is not null").select("doc_id", "n_shingles", "signature"), others, "doc_id", False)
+    nodes = restrict(named.where("signature is not null").select("doc_id", "n_shingles", "signature"), others, "doc_id", False)
     nodes = materialize(nodes.dropDuplicates(["doc_id"]), "nodes", WIDE * n)
-    labels = link(docs, nodes).select(F.col("node").alias("first"), "component")
-    out = firsts.join(labels, "first", "left").withColumn("component_id", F.coalesce("component", "first"))
-    return out.select("doc_id", "n_shingles", "component_id", (F.col("doc_id") == F.col("component_id")).alias("kept"))
+    release(signatures, several, others, mixed)
+    labels = link(docs, nodes)
+    release(nodes)
+    out = with_component(firsts.where("doc_id is not null"), "first", labels, "component_id").select("doc_id", "n_shingles", "component_id", (F.col("doc_id") == F.col("component_id")).alias("kept"))
+    nameless = firsts.where("doc_id is null").select("doc_id", "n_shingles", F.col("first").alias("component_id"), F.lit(True).alias("kept"))
+    return out.unionByName(nameless)
 
 
 def keep(docs: DataFrame) -> DataFrame:
-    """The documents, with all their columns, that near_duplicates() keeps: one of each component, and one of rows that repeat a doc_id."""
-    found = materialize(near_duplicates(docs).select("doc_id", "kept"), "near-duplicates")
+    """The documents, with all their columns, that near_duplicates() keeps: one of each component, and one of rows that repeat a doc_id; all without one."""
+    found = near_duplicates(docs).where("doc_id is not null")
+    found = materialize(found.groupBy("doc_id").agg(F.count("*").alias("n"), F.max("kept").alias("kept")).where("not kept or n > 1"), "dropped-or-repeated")
     n = found.count()
-    out = materialize(found.where("not kept").select("doc_id").distinct(), "dropped", n)
+    out = materialize(found.where("not kept").select("doc_id"), "dropped", n)
     left = restrict(docs, out, "doc_id", False)
-    repeated = found.where("kept").groupBy("doc_id").count().where("count > 1").select("doc_id")
-    repeated = materialize(repeated, "repeated", n)
+    repeated = materialize(found.where("kept").select("doc_id"), "repeated", n)
+    release(found)
     if not repeated.limit(1).count():
         return left
     return restrict(left, repeated, "doc_id", False).unionByName(restrict(left, repeated, "doc_id", True).dropDuplicates(["doc_id"]))

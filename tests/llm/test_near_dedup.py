@@ -82,12 +82,16 @@ def test_candidates_dont_depend_on_cuts(spark, monkeypatch):
     docs = spark.createDataFrame(corpus(5, 10, 60), "doc_id long, text string")
     N.arrow_rows(spark)
     nodes = N.materialize(docs.mapInArrow(N._sign, "doc_id long, n_shingles long, set_key binary, signature binary").where("set_key is not null").dropDuplicates(["set_key"]), "nodes")
-    pairs = lambda: {(r.a, r.b, r.votes, r.depth) for r in N.candidates(nodes).collect()}
-    whole = pairs()
+
+    def found():
+        pairs, edges = N.candidates(nodes, None, 0, N.TREES, N.WIDTH, True)
+        return {tuple(r) for r in pairs.collect()}, {r.node: r.component for r in C.components(edges).collect()}
+
+    whole = found()
     monkeypatch.setattr(N, "ROWS_PER_PARTITION", 20)
     spark.conf.set("spark.sql.shuffle.partitions", "60")
     try:
-        assert pairs() == whole
+        assert found() == whole
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", "4")
 
@@ -110,6 +114,48 @@ def test_planted_pairs_in_a_crowd_of_unlinked_look_alikes(spark):
     assert out == {i: i for i in tails} | {b: a for a, b in planted}
 
 
+def test_links_inside_crowds_of_mixed_sizes(spark):
+    docs, want = [], {}
+    for g in range(3):
+        base = [f"g{g}b{i}" for i in range(104)]  # 100 shingles
+        a, b = [*base, *(f"g{g}a{i}" for i in range(9))], [*base, *(f"g{g}z{i}" for i in range(9))]  # 109 each, 100 shared of 118
+        first = len(docs)
+        docs += [" ".join(a), " ".join(b)]
+        docs += [" ".join([*a, *(f"g{g}x{k}y{i}" for i in range(18)), *b]) for k in range(170)]  # 250 each, of other sizes than the two
+        want |= {i: i for i in range(first, len(docs))} | {first + 1: first}
+    rng = random.Random(9)
+    order = list(range(len(docs)))
+    rng.shuffle(order)
+    rows = [(i, docs[i]) for i in order]
+    expected = brute_force(sorted(rows))
+    assert sum(c != i for i, (_, c) in expected.items()) >= 3
+    check(spark, rows, expected)
+
+
+def test_ids_that_are_null_or_stand_for_several_texts(spark):
+    a, b = " ".join(f"a{i}" for i in range(30)), " ".join(f"b{i}" for i in range(30))
+    rows = [(None, a), (None, a), (1, a), (2, a), (3, b), (3, a), (4, b), (5, None), (5, a)]
+    out = N.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert len(out) == len(rows)
+    assert all(r.kept is True and r.component_id is None and r.n_shingles == 26 for r in out if r.doc_id is None)
+    of = {i: {r.component_id for r in out if r.doc_id == i} for i in range(1, 6)}
+    assert of[1] == of[2] == of[5] == {1} and of[3] in ({1}, {3}) and len(of[4]) == 1
+    assert of[4] == ({3} if of[3] == {3} else {4})
+    assert all(r.kept == (r.doc_id == r.component_id) for r in out if r.doc_id is not None)
+    kept = [r.doc_id for r in N.keep(spark.createDataFrame(rows, "doc_id long, text string")).collect()]
+    assert kept.count(None) == 2 and kept.count(1) == 1 and 2 not in kept
+    with pytest.raises(TypeError):
+        N.near_duplicates(spark.createDataFrame([("x", a)], "doc_id string, text string"))
+
+
+def test_superseded_tables_are_deleted(spark):
+    from rillstone.llm import common
+
+    before = len(common._written)
+    N.near_duplicates(spark.createDataFrame(corpus(5, 5, 20), "doc_id long, text string"))
+    assert len(common._written) - before <= 3
+
+
 def test_contraction_equals_one_task(spark):
     rng = random.Random(1)
     links = [(a, b) for a, b in ((rng.randrange(300), rng.randrange(300)) for _ in range(220)) if a != b] + [(500, 500 + i) for i in range(1, 60)]
