@@ -59,6 +59,32 @@ def test_every_version_of_a_path_is_scanned(spark):
     assert sorted((r.doc_id, r.blob, r.spans) for r in S.findings(docs, ledger).collect()) == want
 
 
+def test_null_ids_are_scanned(spark):
+    rows = [(None, "token = abcdefgh"), (None, "token = abcdefgh"), (None, None), (4, "token = abcdefgh"), (None, "password: hunter22"), (4, "secret=zzzzzzzz"), (5, "plain")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    want = sorted((str(i), brute_force(t)) for i, t in rows)
+    for ledger in (None, S.empty_ledger(spark), S.update_ledger(docs.where("doc_id = 5"))[1]):
+        assert sorted((str(r.doc_id), r.spans) for r in S.findings(docs, ledger).collect()) == want
+        assert S.update_ledger(docs, ledger)[1].count() == len({t or "" for _, t in rows})
+    assert all(not brute_force(r.text) for r in S.redact(docs).collect())
+
+
+def test_a_stored_ledger_is_scanned_into_once(spark, tmp_path):
+    path = f"file://{tmp_path}/ledger"
+    docs, more = frame(spark), frame(spark, ["token = brandnew1", TEXTS[0]], 900)
+    stored = lambda: sorted((r.blob, r.rules_version, r.spans) for r in S.read_ledger(spark, path).collect())
+    assert S.read_ledger(spark, path) is None
+    first = S.scan_into(docs, path).collect()
+    assert {r.doc_id: r.spans for r in first} == {i: brute_force(t) for i, t in enumerate(TEXTS)}
+    once = stored()
+    assert len(once) == len({t or "" for t in TEXTS})
+    assert sorted(map(tuple, S.scan_into(docs, path).collect())) == sorted(map(tuple, first)) and stored() == once  # nothing is unseen
+    both = {r.doc_id: r.spans for r in S.scan_into(docs.unionByName(more), path).collect()}
+    assert both[900] == brute_force("token = brandnew1") and both[901] == both[0] and len(stored()) == len(once) + 1
+    S.scan_into(docs, path, "2")
+    assert len(stored()) == 2 * len(once) + 1
+
+
 def test_redaction(spark):
     out = {r.doc_id: r.text for r in S.redact(frame(spark)).collect()}
     assert out[0] == '[SECRET]"' and out[1] == "token:short" and out[14] is None
