@@ -157,6 +157,11 @@ SELECT doc_id, size, source_size, target,
 FROM r
 """
 
+def _canonical_entry(url: str) -> str:
+    """host/path/ of a listed URL of the query, which has neither port nor dots to remove."""
+    return url.rpartition("://")[2].rstrip("/") + "/"
+
+
 OP8_SQL = rf"""
 WITH u AS (SELECT page_id, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages),
 h AS (SELECT page_id, rest, regexp_extract(rest, '^([^/?#]*)', 1) AS authority FROM u),
@@ -169,10 +174,15 @@ fits AS (
   SELECT page_id, arg_max(rule, length(rule)) AS rule, arg_max(verdict, length(rule)) AS verdict
   FROM p JOIN rules r ON (host = r.h OR ends_with(host, '.' || r.h)) AND starts_with(path, r.p) GROUP BY page_id
 ),
-entries(e) AS (VALUES {", ".join(f"('{u}')" for u in url_filter.LISTED)}),
+entries(e) AS (VALUES {", ".join(f"('{_canonical_entry(u)}')" for u in url_filter.LISTED)}),
+k AS (
+  SELECT *, rtrim(regexp_replace(regexp_replace(host, '^.*@', ''), ':[0-9]*$', ''), '.') AS ch,
+    regexp_replace(regexp_replace(regexp_replace(path, '/(\./)+', '/', 'g'), '/{{2,}}', '/', 'g'), '/(index\.html?)?$', '') AS cp
+  FROM p
+),
 covered AS (
-  SELECT page_id, max(e) AS listed FROM p JOIN entries
-  ON rtrim(regexp_replace(regexp_replace(host, '^.*@', ''), ':[0-9]*$', ''), '.') || '/' = e OR ends_with(rtrim(regexp_replace(regexp_replace(host, '^.*@', ''), ':[0-9]*$', ''), '.') || '/', '.' || e)
+  SELECT page_id, arg_max(e, struct_pack(a := length(e), b := e)) AS listed
+  FROM k JOIN entries ON (ch = split_part(e, '/', 1) OR ends_with(ch, '.' || split_part(e, '/', 1))) AND starts_with(cp || '/', substr(e, instr(e, '/')))
   GROUP BY page_id
 )
 SELECT page_id, host, path, rule, coalesce(verdict, CASE WHEN listed IS NOT NULL THEN 'block' ELSE 'allow' END) AS verdict, listed

@@ -2,11 +2,13 @@
 
 A listed URL covers itself and what lies below it. A page's URL is therefore
 looked up under its canonical form and the forms above it: the host and the
-hosts it lies in, each with the path and the paths above it. Forms are made
-distinct before the lookup, so a host that a third of all pages share is
-looked up once. The Bloom filter is an array of 256-bit blocks; a form sets,
-or asks for, one bit in each of the block's eight words. What passes goes on
-to an exact hash join with the list, which removes false positives.
+hosts it lies in, each with the path and the paths above it, as far as the
+list has entries of so many labels and steps. The Bloom filter is an array of
+256-bit blocks; a form sets, or asks for, one bit in each of the block's eight
+words. It is asked before anything is shuffled; what passes is made distinct
+and goes on to an exact hash join with the list, which removes false
+positives. A host that a third of all pages share so reaches the join as few
+rows of each task.
 
 A null URL, or one without ``://``, has an empty host and path, matches no
 rule and no entry, and is allowed. Repeated rows get equal verdicts. Extra
@@ -25,14 +27,15 @@ from .common import BROADCAST_ROWS, materialize, null_text
 
 #: (verdict, host, path) of the rules; the longest that fits wins.
 RULES = (("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/"))
-#: Canonical URLs that the query lists: hosts of spam.
-LISTED = tuple(f"{name}.example.{top}/" for name in ("casino-win", "cheap-pills", "spam-farm") for top in ("com", "net", "org"))
+#: URLs that the query lists: hosts of spam, and parts of hosts.
+LISTED = (
+    *(f"{name}.example.{top}/" for name in ("ads-track", "adult-x", "casino-win", "cheap-pills", "free-bets", "spam-farm") for top in ("com", "net", "org")),
+    "http://tionble.example.org/en/6", "http://blog.tionsh.example.com/en/", "m.ththth.example.net/es", "https://example.org/de/1234/",
+)
 
 #: Bits of the filter for each entry; about 1 form in 1,000 passes falsely.
 BITS_PER_ENTRY = 16
 BLOCK_BITS, WORD_BITS = 256, 32
-#: Paths above a path that are looked up besides itself; an entry with a longer path covers itself alone.
-MAX_PATHS = 6
 #: Blocks that are broadcast at most (32 bytes each); a larger filter is joined by block number.
 BROADCAST_BLOCKS = 1_000_000
 
@@ -66,20 +69,26 @@ def canonical(host: Column, path: Column) -> tuple[Column, Column]:
     return h, p
 
 
-def longest_host(entries: DataFrame) -> int:
-    """Labels of the longest host among the entries (form); a longer host can't be listed."""
-    return entries.agg(F.max(F.size(F.split(F.substring_index("form", "/", 1), r"\.")))).first()[0] or 1
+def levels(entries: DataFrame) -> dict[int, int]:
+    """For each number of labels that hosts among the entries (form) have, the steps of the longest path; no other form can be listed."""
+    host = F.substring_index("form", "/", 1)
+    rows = entries.groupBy(F.size(F.split(host, r"\.")).alias("labels")).agg(F.max(F.size(F.split("form", "/")) - 1).alias("steps"))
+    return {r["labels"]: r["steps"] for r in rows.collect()}  # a row for each number of labels
 
 
-def forms(host: Column, path: Column, most_labels: int) -> Column:
-    """The forms under which a page may be listed, host/path: hosts of up to most_labels labels."""
+def forms(host: Column, path: Column, most: dict[int, int]) -> Column:
+    """The forms under which a page may be listed, host/path/: of hosts of as many labels as most has, with as many steps as it says."""
     h, p = canonical(host, path)
     labels, steps = F.split(h, r"\."), F.split(p, "/")
     n, m = F.size(labels), F.size(steps)
-    hosts = F.transform(F.sequence(F.greatest(n - most_labels, F.lit(0)) + 1, n), lambda i: F.array_join(F.slice(labels, i, n), "."))
-    paths = F.transform(F.sequence(F.lit(1), F.least(m, F.lit(MAX_PATHS))), lambda i: F.concat(F.array_join(F.slice(steps, 1, i), "/"), F.lit("/")))
-    both = F.flatten(F.transform(hosts, lambda x: F.transform(F.concat(paths, F.array(F.concat(p, F.lit("/")))), lambda y: F.concat(x, y))))
-    return F.when(h != "", F.array_distinct(both)).otherwise(F.array().cast("array<string>"))
+    none = F.array().cast("array<string>")
+
+    def of(k: int, deepest: int) -> Column:
+        name = F.array_join(F.slice(labels, n - (k - 1), F.lit(k)), ".")
+        return F.when(n >= k, F.transform(F.sequence(F.lit(1), F.least(m, F.lit(deepest))), lambda i: F.concat(name, F.array_join(F.slice(steps, F.lit(1), i), "/"), F.lit("/")))).otherwise(none)
+
+    every = F.concat(none, *(of(k, deepest) for k, deepest in sorted(most.items())))
+    return F.when(h != "", every).otherwise(none)
 
 
 def listed_form(url: Column) -> Column:
@@ -112,33 +121,31 @@ def possible(candidates: DataFrame, blocks: DataFrame, n: int) -> DataFrame:
     return joined.where(inside).select(*candidates.columns)
 
 
-def listed_forms(pages: DataFrame, entries: DataFrame) -> DataFrame:
-    """The distinct forms of the pages that are listed: through the filter, then the exact join."""
-    host, path = host_and_path(F.col("url"))
-    candidates = pages.select(F.explode(forms(host, path, longest_host(entries))).alias("form")).distinct()
+def covered(pages: DataFrame, entries: DataFrame) -> DataFrame:
+    """host, path and listed (the longest entry that covers them) of the pages' hosts and paths that are covered: through the filter, then the exact join."""
     blocks, n = bloom(entries)
-    return possible(candidates, blocks, n).join(entries, "form", "left_semi")
+    asked = pages.select("host", "path", F.explode(forms(F.col("host"), F.col("path"), levels(entries))).alias("form"))
+    if n > BROADCAST_BLOCKS:
+        asked = asked.distinct()  # the filter itself needs a shuffle
+    hits = possible(asked, blocks, n).distinct()
+    few = BROADCAST_ROWS // 4
+    exact = hits.join(F.broadcast(entries) if entries.limit(few + 1).count() <= few else entries, "form", "left_semi")
+    return exact.groupBy("host", "path").agg(F.max_by("form", F.struct(F.length("form"), "form")).alias("listed"))
 
 
 def judge(pages: DataFrame, urls: DataFrame, rules=RULES) -> DataFrame:
     """page_id, host, path, rule, verdict and listed (the entry that covers the page, the longest; null without one).
 
     urls has a column url. A page that fits a rule gets its verdict, and
-    another one is blocked if it is listed.
+    another one is blocked if it is listed. If few pages are covered, what
+    covers them is broadcast, and no page is shuffled.
     """
     entries = materialize(urls.where("url is not null").select(listed_form(F.col("url")).alias("form")).distinct(), "entries")
-    found = materialize(listed_forms(pages, entries), "listed")
-    labels = longest_host(entries)
     host, path = host_and_path(F.col("url"))
     rows = pages.select("page_id", host.alias("host"), path.alias("path"))
+    found = materialize(covered(rows, entries), "covered")
+    few = BROADCAST_ROWS // 4
+    found = F.broadcast(found) if found.limit(few + 1).count() <= few else found
     name, verdict = best_rule(F.col("host"), F.col("path"), rules)
-    if found.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
-        # few forms are listed: a page's own are looked up among them
-        wanted = rows.select(F.col("host"), F.col("path")).distinct()
-        pairs = wanted.select("host", "path", F.explode(forms(F.col("host"), F.col("path"), labels)).alias("form")).join(F.broadcast(found), "form")
-    else:
-        wanted = rows.select("host", "path").distinct()
-        pairs = wanted.select("host", "path", F.explode(forms(F.col("host"), F.col("path"), labels)).alias("form")).join(found, "form")
-    covered = pairs.groupBy("host", "path").agg(F.max_by("form", F.struct(F.length("form"), "form")).alias("listed"))
-    out = rows.join(covered, ["host", "path"], "left").withColumn("rule", name)
+    out = rows.join(found, ["host", "path"], "left").withColumn("rule", name)
     return out.select("page_id", "host", "path", "rule", F.coalesce(verdict, F.when(F.col("listed").isNotNull(), F.lit("block")).otherwise(F.lit("allow"))).alias("verdict"), "listed")

@@ -38,7 +38,7 @@ def test_listed_urls_cover_what_lies_below(spark):
     blocked = {URLS[i] for i, r in out.items() if r.rule is None and r.verdict == "block"}
     assert blocked == {
         "http://spam-farm.example.org/en/1", "HTTP://WWW.CHEAP-PILLS.EXAMPLE.COM/EN/", "http://user@casino-win.example.com:80//a/../b", "http://listed.test/dir/page.html", "http://listed.test/dir/",
-        "http://sub.listed.test/dir/x/y", "http://deep.test/1/2/3/4/5/6/7/8",
+        "http://sub.listed.test/dir/x/y", "http://deep.test/1/2/3/4/5/6/7/8", "http://deep.test/1/2/3/4/5/6/7/8/9",
     }
     assert all((r.listed is None) or r.rule or r.verdict == "block" for r in out.values())
 
@@ -49,6 +49,21 @@ def test_listed_hosts_of_any_length_cover_what_lies_below(spark):
     assert [out[i].listed for i in range(len(urls))] == ["a.b.spam.example.test/", "x.a.b.c.spam.example.test/", None, "a.b.spam.example.test/", None]
 
 
+def test_paths_of_any_length_cover_what_lies_below(spark):
+    deep = "/".join(map(str, range(40)))
+    urls = [f"http://x.test/{deep}/more", f"http://x.test/{deep}", f"http://x.test/{deep[:-1]}", "http://a.x.test/a/b/c/d/e/f/g/h/i/j", "http://x.test/a/b/c/d/e/f", "http://x.test/"]
+    out = run(spark, urls, [f"x.test/{deep}", "http://x.test/a/b/c/d/e/f/g"])
+    assert [bool(out[i].listed) for i in range(len(urls))] == [True, True, False, True, False, False]
+
+
+def test_the_filter_is_asked_before_a_shuffle(spark):
+    pages = spark.createDataFrame([("h.test", "/p")], "host string, path string")
+    entries = U.materialize(spark.createDataFrame([("h.test/",)], "form string"), "entries")
+    plan = U.covered(pages, entries)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Generate explode") > plan.index("getbit")  # plans are printed from their top
+    assert U.covered(pages, entries).collect()[0].listed == "h.test/"
+
+
 def test_filter_has_no_false_negative_and_few_false_positives(spark):
     forms = spark.range(3000).selectExpr("concat('h', id, '.test/') AS form")
     blocks, n = U.bloom(forms)
