@@ -5,21 +5,26 @@ that name, as concurrent-to, the response or revisit record. Of pages with
 equal payloads, the one with the largest page_id is the response and the
 others revisit it. Archives are written by Spark's text sink, whose line
 separator is the two line ends that close a record; so they lie wherever
-Spark can write, gzip-compressed. Reading hands each archive, of a bounded
-size, to a parser that goes by Content-Length. Records of a transaction are
-then joined through their concurrent-to identifiers into one nested row per
-capture.
-
-A null html is an empty payload, a null url an empty target. Repeated rows
-with the largest page_id of their payload are all responses, and each gives a
-capture. A table without pages gives archives without records. Extra columns
-are ignored.
+Spark can write, gzip-compressed, and hold a bounded number of bytes: pages
+are written by size class, of larger ones fewer to an archive. Reading
+inflates an archive piece by piece for a parser that goes by Content-Length.
+Records of a transaction are then joined through their concurrent-to
+identifiers into one nested row per capture, and revisits meet the capture
+that they refer to through WARC-Refers-To.
+
+A null html is an empty payload, a null url an empty target. A null page_id
+gives a capture without one: it is a response if no page with an id has its
+payload, and is never referred to by id. Repeated rows with the largest
+page_id of their payload are all responses, and each gives a capture. Rows of
+one page_id with different payloads are captures of their own. A table without
+pages gives archives without records. Extra columns are ignored.
 """
 
 from __future__ import annotations
 
 import base64
 import hashlib
+import math
 import zlib
 from collections.abc import Iterator
 
@@ -27,13 +32,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import arrow_rows, new_path, null_text
+from .common import arrow_rows, materialize, new_path, null_text
 
 END = b"\r\n\r\n"
 #: Payloads of fewer bytes are always responses.
 LEAST_BYTES = 0
-#: Pages of an archive, at most.
-PAGES_PER_ARCHIVE = 4000
+#: Payload bytes of an archive, at most, but that one payload may be larger; pages of up to SMALL bytes are one class, then classes quadruple.
+ARCHIVE_BYTES, SMALL = 128 << 20, 64 << 10
+#: Compressed bytes that are inflated at once.
+PIECE = 1 << 16
 #: Every record bears this date: archives of equal pages are equal.
 DATE = "2024-01-01T00:00:00Z"
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -67,7 +74,7 @@ def transaction(page_id: object, url: str, payload: bytes, response_id: object)
         yield record("response", shared, http + payload)
     else:
         yield record("revisit", [*shared, ("WARC-Profile", REVISIT_PROFILE), ("WARC-Refers-To", _urn("capture", response_id, digest))], http)
-    fields = f"page-id: {page_id}\r\n" + (f"refers-to-page-id: {response_id}\r\n" if response_id != page_id else "")
+    fields = f"page-id: {page_id}\r\n" if page_id is not None else ""
     yield record("metadata", [("WARC-Record-ID", _urn("metadata", page_id, digest)), ("WARC-Concurrent-To", own), target, ("Content-Type", "application/warc-fields")], fields.encode())
 
 
@@ -79,26 +86,53 @@ def _headers(data: bytes) -> dict[str, str]:
     return out
 
 
+def _inflated(data: bytes) -> Iterator[bytes]:
+    """The bytes of a file in pieces; those of one member after another if it is compressed."""
+    if data[:2] != b"\x1f\x8b":
+        yield data
+        return
+    view, at, gz = memoryview(data), 0, zlib.decompressobj(31)
+    while at < len(data):
+        piece = view[at : at + PIECE]
+        at += len(piece)
+        while len(piece):
+            yield gz.decompress(piece)
+            piece = gz.unused_data
+            if gz.eof:
+                gz = zlib.decompressobj(31)
+
+
 def parse(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
-    """Headers (names in lower case) and block of each record of an archive, compressed or not."""
-    if data[:2] == b"\x1f\x8b":
-        members, rest = [], data
-        while rest:
-            gz = zlib.decompressobj(31)
-            members.append(gz.decompress(rest))
-            rest = gz.unused_data
-        data = b"".join(members)
-    at = 0
-    while (at := data.find(b"WARC/", at)) >= 0:
-        end = data.index(END, at)
-        headers = _headers(data[at:end])
-        start = end + len(END)
-        at = start + int(headers["content-length"])
-        yield headers, data[start:at]
+    """Headers (names in lower case) and block of each record of an archive, compressed or not; it holds about a record at a time."""
+    pieces, held = _inflated(data), bytearray()
+
+    def more() -> bool:
+        for piece in pieces:
+            held.extend(piece)
+            return True
+        return False
+
+    while True:
+        while (start := held.find(b"WARC/")) < 0:
+            del held[: max(0, len(held) - 4)]
+            if not more():
+                return
+        seen = start
+        while (end := held.find(END, seen)) < 0:
+            seen = max(start, len(held) - len(END) + 1)
+            if not more():
+                return
+        headers = _headers(bytes(held[start:end]))
+        first = end + len(END)
+        last = first + int(headers["content-length"])
+        while len(held) < last and more():
+            pass
+        yield headers, bytes(held[first:last])
+        del held[:last]
 
 
 def write_archives(pages: DataFrame, path: str, least_bytes: int = LEAST_BYTES) -> None:
-    """Write a transaction for each page below path.
+    """Write a transaction for each page below path, a folder for each size class that occurs.
 
     Payloads that occur once need no join partner, so only digests of several
     pages are joined; adaptive execution splits the partition of one that a
@@ -117,17 +151,25 @@ def write_archives(pages: DataFrame, path: str, least_bytes: int = LEAST_BYTES)
             records = [r for p, u, t, o in zip(page, url, text, response, strict=True) for r in transaction(p, u, t.encode(), o)]
             yield pa.RecordBatch.from_arrays([pa.array(records, pa.binary())], ["value"])
 
-    writer = joined.mapInArrow(write, "value binary").select(F.col("value").cast("string"))
-    writer.write.option("lineSep", END.decode()).option("compression", "gzip").option("maxRecordsPerFile", 3 * PAGES_PER_ARCHIVE).text(path)
+    largest = pages.agg(F.max(F.octet_length("html"))).first()[0] or 0
+    bounds, low = [], 0
+    for k in range(max(0, math.ceil(math.log(max(largest, 1) / SMALL, 4))) + 1):
+        bounds.append((low, SMALL << 2 * k))
+        low = SMALL << 2 * k
+    size = F.octet_length("html")
+    for low, high in bounds:
+        own = joined if len(bounds) == 1 else joined.where((size <= high) if not low else (size > low) & (size <= high))
+        writer = own.mapInArrow(write, "value binary").select(F.col("value").cast("string"))
+        writer.write.option("lineSep", END.decode()).option("compression", "gzip").option("maxRecordsPerFile", 3 * max(1, ARCHIVE_BYTES // high)).text(f"{path}/up-to-{high}")
 
 
-FIELDS = "type string, record_id string, concurrent_to string, target_uri string, payload_digest string, payload_bytes long, refers_to string, page_id {page}, refers_to_page {page}"
+FIELDS = "type string, record_id string, concurrent_to string, target_uri string, payload_digest string, payload_bytes long, refers_to string, page_id {page}"
 
 
 def read_records(spark: SparkSession, path: str, page_type: str = "bigint") -> DataFrame:
     """A row for each record of the archives below path; digests and sizes of responses are computed from what was read."""
     page = pa.string() if page_type == "string" else pa.int64()
-    kinds = [pa.string()] * 5 + [pa.int64(), pa.string(), page, page]
+    kinds = [pa.string()] * 5 + [pa.int64(), pa.string(), page]
     schema = FIELDS.format(page=page_type)
     names = [f.split()[0] for f in schema.split(", ")]
     convert = str if page_type == "string" else int
@@ -137,7 +179,7 @@ def read_records(spark: SparkSession, path: str, page_type: str = "bigint") -> D
             for content in batch.column("content"):
                 rows = []
                 for h, block in parse(content.as_py()):
-                    kind, digest, size, own, other = h["warc-type"], None, None, None, None
+                    kind, digest, size, own = h["warc-type"], None, None, None
                     if kind == "response":
                         payload = block[block.index(END) + len(END) :]
                         digest, size = base32_sha1(payload), len(payload)
@@ -145,13 +187,12 @@ def read_records(spark: SparkSession, path: str, page_type: str = "bigint") -> D
                         digest, size = h["warc-payload-digest"].removeprefix("sha1:"), int(_headers(block)["content-length"])
                     elif kind == "metadata":
                         fields = _headers(b"\r\n" + block)
-                        own = convert(fields["page-id"])
-                        other = convert(fields["refers-to-page-id"]) if "refers-to-page-id" in fields else None
-                    rows.append((kind, h.get("warc-record-id"), h.get("warc-concurrent-to"), h.get("warc-target-uri"), digest, size, h.get("warc-refers-to"), own, other))
+                        own = convert(fields["page-id"]) if "page-id" in fields else None
+                    rows.append((kind, h.get("warc-record-id"), h.get("warc-concurrent-to"), h.get("warc-target-uri"), digest, size, h.get("warc-refers-to"), own))
                 yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], names)
 
     arrow_rows(spark, 1)
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).select("content")
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").option("recursiveFileLookup", True).load(path).select("content")
     return files.mapInArrow(read, schema)
 
 
@@ -168,23 +209,35 @@ def captures(records: DataFrame) -> DataFrame:
     met = records.groupBy(key).agg(
         of("request", "record_id", "target_uri").alias("request"),
         F.collect_list(F.when(F.col("type").isin("response", "revisit"), exchange)).alias("exchanges"),
-        of("metadata", "record_id", "page_id", "refers_to_page").alias("metadata"),
+        of("metadata", "record_id", "page_id").alias("metadata"),
     )
     return met.select("capture_id", "request", F.explode_outer("exchanges").alias("response"), "metadata")
 
 
+def with_referred(met: DataFrame) -> DataFrame:
+    """The captures with refers_to: the page_id of the capture that a revisit refers to.
+
+    The captures that are referred to are one row each; adaptive execution
+    splits the partition of one that a third of all pages revisit.
+    """
+    targets = met.where("response.type = 'response'").groupBy(F.col("capture_id").alias("__target")).agg(F.max("metadata.page_id").alias("refers_to"))
+    revisits = met.where("response.type = 'revisit'")
+    others = met.where("response.type is null or response.type <> 'revisit'").withColumn("refers_to", F.lit(None).cast(targets.schema["refers_to"].dataType))
+    return revisits.join(targets, F.col("response.refers_to") == F.col("__target"), "left").drop("__target").unionByName(others)
+
+
 def round_trip(pages: DataFrame, path: str | None = None) -> DataFrame:
     """page_id, payload_bytes, payload_digest, record_type and refers_to of each page, from archives written and read back."""
     spark = pages.sparkSession
     path = path or new_path(spark, "warc")
     write_archives(pages, path)
     kind = pages.schema["page_id"].dataType.simpleString()
-    met = captures(read_records(spark, path, kind))
-    return met.select(
+    met = materialize(captures(read_records(spark, path, kind)), "captures")
+    return with_referred(met).select(
         F.col("metadata.page_id").alias("page_id"),
         F.col("response.payload_bytes").alias("payload_bytes"),
         F.col("response.payload_digest").alias("payload_digest"),
         F.col("response.type").alias("record_type"),
-        F.col("metadata.refers_to_page").alias("refers_to"),
+        "refers_to",
         F.col("response.target_uri").alias("url"),
     )
