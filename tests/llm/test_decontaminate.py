@@ -68,3 +68,33 @@ def test_equals_brute_force(spark):
 def test_windows_that_touch():
     text = D.normalise(b"a b c d e f g h")
     assert D._judge(text, *D.Patterns([("1", "a b c"), ("2", "d e f")], 3).hits(text))[:3] == (8, 6, 2)
+
+
+def test_items_without_an_id(spark):
+    items = [(None, "alpha beta gamma"), (None, "delta eps"), (7, "zeta eta theta")]
+    docs = [(1, "x alpha beta gamma delta eps y"), (2, "zeta eta theta alpha beta gamma"), (None, "zeta eta theta"), (4, "nothing")]
+    d, b = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    sha = lambda x: hashlib.sha256(x.encode()).hexdigest()
+    for options in ({}, {"pass_bytes": 1}):
+        out = {r.doc_id: (r.n_hit, r.n_items, r.items_sha256) for r in D.contamination(d, b, **options).collect()}
+        assert out == {1: (5, 1, sha("")), 2: (6, 2, sha("7")), None: (3, 1, sha("7")), 4: (0, 0, sha(""))}
+
+
+def test_a_worker_builds_a_blocks_tables_once(spark):
+    docs, items = cases()
+    many = spark.createDataFrame([(i * 1000 + k, t) for i in range(32) for k, (_, t) in enumerate(docs)], "doc_id long, text string").repartition(16)
+    b = spark.createDataFrame(items, "item_id long, text string")
+    half = sum(len(t) for _, t in items) // 2 + 40
+    for limit, blocks in ((10**6, 1), (half, 2)):
+        built = spark.sparkContext.accumulator(0)
+        out = D.contamination(many, b, pass_bytes=limit, built=built).collect()
+        assert len(out) == 32 * len(docs) >= 1900
+        assert blocks <= built.value <= blocks * 4  # workers of the test session
+    assert {tuple(r)[1:] for r in out} == {brute_force(t, items) for _, t in docs}
+
+
+def test_clean_keeps_columns_of_any_name(spark):
+    docs = spark.createDataFrame([(1, "alpha beta gamma", 5, "a"), (2, "other words", 6, "b")], "doc_id long, text string, n_words long, `contaminated` string")
+    b = spark.createDataFrame([(1, "alpha beta gamma"), (2, "delta")], "item_id long, text string")
+    for options in ({}, {"pass_bytes": 1}):
+        assert [tuple(r) for r in D.clean(docs, b, **options).collect()] == [(2, "other words", 6, "b")]
