@@ -14,9 +14,10 @@ that Java's engine would match by recursion, or from every place of a long
 run anew, are written with possessive repetition and start only where a run
 starts, or where the last match ended; they match the same.
 
-Null and empty texts have no spans. doc_id tells documents apart; repeated
-rows get equal base spans. Extra columns are ignored. No match crosses a line
-end.
+Null and empty texts have no spans. Rows are told apart by a number of their
+own, so a null doc_id, or one that many rows share, is a row like any other;
+repeated rows get equal spans. Extra columns are ignored. No match crosses a
+line end.
 """
 
 from __future__ import annotations
@@ -121,11 +122,11 @@ def contexts(text: Column, start: Column, end: Column) -> Column:
 
 
 def occurrences(docs: DataFrame) -> DataFrame:
-    """doc_id and found: kind (null for an unknown identifier), start, end, value and contexts of what each text has, materialized.
+    """row (a number of its own), doc_id and found: kind (null for an unknown identifier), start, end, value and contexts of what each text has, materialized.
 
     This is the one pass over the texts.
     """
-    df = docs.select("doc_id", null_text(F.col("text")).alias("__t"))
+    df = docs.select("doc_id", null_text(F.col("text")).alias("__t"), F.monotonically_increasing_id().alias("row"))
     for k in KINDS:
         df = _with_spans(df, k, PATTERNS[k], NEEDS.get(k))
     df = _with_spans(df, "unknown", IDENTIFIER, None)
@@ -138,7 +139,7 @@ def occurrences(docs: DataFrame) -> DataFrame:
             lambda x: F.struct(name.alias("kind"), x["start"].alias("start"), x["end"].alias("end"), F.lower(x["value"]).alias("value"), contexts(F.col("__t"), x["start"], x["end"]).alias("contexts")),
         )
 
-    return materialize(df.select("doc_id", F.concat(*(described(k) for k in (*KINDS, None))).alias("found")), "personal-data")
+    return materialize(df.select("row", "doc_id", F.concat(*(described(k) for k in (*KINDS, None))).alias("found")), "personal-data")
 
 
 def _scores(per: str) -> list[Column]:
@@ -147,15 +148,15 @@ def _scores(per: str) -> list[Column]:
 
 
 def discover(found: DataFrame, rounds: int = ROUNDS) -> DataFrame:
-    """doc_id, kind, start and end of the unknown identifiers that trusted patterns surround.
+    """row, kind, start, end and value of the unknown identifiers that trusted patterns surround.
 
     found is as from occurrences(). The graph has a row for each pattern and
     value, pre-aggregated; a pattern that surrounds very many values makes a
     large partition beside its one row of scores, which adaptive execution
     splits.
     """
-    each = found.select("doc_id", F.explode("found").alias("x")).select("doc_id", "x.*")
-    in_doc = W.partitionBy("doc_id").orderBy("start", F.col("kind").isNull())
+    each = found.select("row", F.explode("found").alias("x")).select("row", "x.*")
+    in_doc = W.partitionBy("row").orderBy("start", F.col("kind").isNull())
     before = F.max(F.when(F.col("kind").isNotNull(), F.col("end"))).over(in_doc.rowsBetween(W.unboundedPreceding, -1))
     after = F.min(F.when(F.col("kind").isNotNull(), F.col("start"))).over(in_doc.rowsBetween(1, W.unboundedFollowing))
     free = F.coalesce(before <= F.col("start"), F.lit(True)) & F.coalesce(after >= F.col("end"), F.lit(True))
@@ -176,7 +177,7 @@ def discover(found: DataFrame, rounds: int = ROUNDS) -> DataFrame:
         unknown = materialize(reached.groupBy("value").agg(*(F.max(f"p_{k}").alias(f"u_{k}") for k in KINDS)), "scores", n)
     likely = unknown.withColumn("__best", F.greatest(*(F.col(f"u_{k}") for k in KINDS))).where(F.col("__best") >= TRUST)
     kind = F.coalesce(*(F.when(F.col(f"u_{k}") == F.col("__best"), F.lit(k)) for k in KINDS))
-    return each.where("kind is null").drop("kind").join(likely.select("value", kind.alias("kind")), "value").select("doc_id", "kind", "start", "end")
+    return each.where("kind is null").drop("kind").join(likely.select("value", kind.alias("kind")), "value").select("row", "kind", "start", "end", "value")
 
 
 def _line(spans: Column) -> Column:
@@ -189,9 +190,9 @@ def personal_data(docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     found = occurrences(docs)
     more = discover(found, rounds)
     order = F.element_at(F.create_map(*(x for i, k in enumerate(KINDS) for x in (F.lit(k), F.lit(i)))), F.col("kind"))
-    added = more.withColumn("o", order).groupBy("doc_id").agg(F.collect_set(F.struct("o", "start", "end", "kind")).alias("__more"))
+    added = more.withColumn("o", order).groupBy("row").agg(F.collect_set(F.struct("o", "start", "end", "kind")).alias("__more"))
     base = F.transform(F.filter("found", lambda x: x["kind"].isNotNull()), lambda x: F.struct(x["kind"].alias("kind"), x["start"].alias("start"), x["end"].alias("end")))
-    out = found.select("doc_id", base.alias("__base")).join(added, "doc_id", "left")
+    out = found.select("row", "doc_id", base.alias("__base")).join(added, "row", "left")
     is_kind = lambda k: lambda x: x["kind"] == k
     number = lambda x: F.element_at(F.create_map(*(y for i, k in enumerate(KINDS) for y in (F.lit(k), F.lit(i)))), x["kind"])
     full = F.sort_array(F.concat(F.transform("__base", lambda x: F.struct(number(x).alias("o"), x["start"].alias("start"), x["end"].alias("end"), x["kind"].alias("kind"))), F.coalesce("__more", F.array().cast("array<struct<o:int,start:bigint,end:bigint,kind:string>>"))))
@@ -201,3 +202,18 @@ def personal_data(docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
         F.sha2(_line(F.col("__base")), 256).alias("base_sha256"),
         F.when(F.col("__more").isNull(), _line(F.col("__base"))).otherwise(_line(full)).alias("spans"),
     )
+
+
+def hidden_seeds(docs: DataFrame, share: int = 5, rounds: int = ROUNDS) -> DataFrame:
+    """kind, hidden, found and right: how many distinct seeds of a kind come back when each one in share, by a hash of its value, is taken for an unknown identifier.
+
+    right counts those that come back as the kind that they are. It tells how
+    much of what the fixed patterns miss the contexts can be trusted to find.
+    """
+    found = occurrences(docs)
+    hidden = lambda x: x["kind"].isNotNull() & (F.pmod(F.xxhash64(x["value"], F.lit("hidden")), F.lit(share)) == 0)
+    fields = ("start", "end", "value", "contexts")
+    masked = found.withColumn("found", F.transform("found", lambda x: F.struct(F.when(~hidden(x), x["kind"]).alias("kind"), *(x[f].alias(f) for f in fields))))
+    truth = found.select(F.explode(F.filter("found", hidden)).alias("x")).groupBy(F.col("x.value").alias("value")).agg(F.min("x.kind").alias("kind"))
+    back = discover(masked, rounds).groupBy("value").agg(F.min("kind").alias("as"))
+    return truth.join(back, "value", "left").groupBy("kind").agg(F.count("*").alias("hidden"), F.count("as").alias("found"), F.count_if(F.col("as") == F.col("kind")).alias("right"))

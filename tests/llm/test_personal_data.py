@@ -73,6 +73,22 @@ def test_identifiers_in_groups_and_in_contexts_of_new_ones(spark):
     assert all(spans[i] == "phone:11:22" for i in range(first + 10, first + 21))
 
 
+def test_hidden_seeds_come_back_from_their_contexts(spark):
+    rng = random.Random(8)
+    number = lambda: "+39 06 " + "".join(rng.choice("0123456789") for _ in range(7))
+    docs = [f"please call {number()} before noon" for _ in range(200)] + [f"write to user{i}@host{i}.example today" for i in range(200)]
+    docs += [f"{rng.choice('abcdefgh')}{rng.randrange(10**6)} {rng.randrange(256)}.1.2.3 seen" for _ in range(60)]  # no context
+    out = {r.kind: r for r in P.hidden_seeds(spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string")).collect()}
+    assert all(out[k].hidden > 20 and out[k].right == out[k].found == out[k].hidden for k in ("email", "phone"))
+    assert out["ip"].found == 0
+
+
+def test_null_and_shared_ids(spark):
+    docs = [(None, "a@b.c"), (None, "10.0.0.1"), (5, "a@b.c d@e.f"), (5, ""), (None, None)]
+    out = sorted((str(r.doc_id), r.spans) for r in P.personal_data(spark.createDataFrame(docs, "doc_id long, text string")).collect())
+    assert out == [("5", ""), ("5", "email:0:5,email:6:11"), ("None", ""), ("None", "email:0:5"), ("None", "ip:0:8")]
+
+
 def test_main_path_is_native(spark):
     out = P.personal_data(spark.createDataFrame([(1, "a@b.c")], "doc_id long, text string"))
     assert "Python" not in out._jdf.queryExecution().executedPlan().toString()
