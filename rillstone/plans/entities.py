@@ -17,12 +17,12 @@ _WORDS_SQL = "trim(regexp_replace(lower(strip_accents({})), '[^a-z0-9]+', ' ', '
 
 
 def _blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents in blocks of equal texts, and of equal beginnings in one language."""
-    head = F.concat_ws(":", "lang", F.left("text", F.lit(60)))
-    return table(spark, sf_dir, "documents").select(F.col("doc_id").alias("row_idx"), F.explode(F.array(F.md5("text"), head)).alias("block"))
+    """Documents in blocks of equal texts, and of equal length in one language."""
+    length = F.concat_ws(":", "lang", "n_chars")
+    return table(spark, sf_dir, "documents").select(F.col("doc_id").alias("row_idx"), F.explode(F.array(F.md5("text"), length)).alias("block"))
 
 
-_PAIRS_SQL = """b AS (SELECT doc_id AS i, md5(text) AS k FROM documents UNION ALL SELECT doc_id, lang || ':' || substr(text, 1, 60) FROM documents),
+_PAIRS_SQL = """b AS (SELECT doc_id AS i, md5(text) AS k FROM documents UNION ALL SELECT doc_id, concat_ws(':', lang, n_chars) FROM documents),
 z AS (SELECT k FROM b GROUP BY k HAVING count(*) BETWEEN 2 AND 80), s AS (SELECT i, k FROM b JOIN z USING (k)),
 p AS (SELECT DISTINCT x.i AS idx_a, y.i AS idx_b FROM s x JOIN s y ON x.k = y.k AND x.i < y.i)"""
 
@@ -33,12 +33,12 @@ def q27_blocking_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedupe.pairs_in_blocks(_blocks(spark, sf_dir))
 
 
-@R.query(f"""WITH {_PAIRS_SQL}, w AS (SELECT doc_id, list_distinct(list_filter(string_split({_WORDS_SQL.format("substr(text, 1, 300)")}, ' '), lambda x: length(x) >= 4)) AS t FROM documents),
+@R.query(f"""WITH {_PAIRS_SQL}, w AS (SELECT doc_id, list_distinct(list_filter(string_split({_WORDS_SQL.format("text")}, ' '), lambda x: length(x) >= 4)) AS t FROM documents),
 j AS (SELECT idx_a, idx_b, a.t AS ta, b.t AS tb, len(list_intersect(a.t, b.t)) AS n FROM p JOIN w a ON a.doc_id = idx_a JOIN w b ON b.doc_id = idx_b)
 SELECT idx_a, idx_b, CASE WHEN len(ta) > 0 AND len(tb) > 0 THEN n / (len(ta) + len(tb) - n) ELSE 0 END AS jaccard, CASE WHEN len(ta) > 0 AND len(tb) > 0 THEN n / least(len(ta), len(tb)) ELSE 0 END AS containment FROM j""")
 def q26_tokens_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """X11: how many words the pairs of a block share."""
-    rows = table(spark, sf_dir, "documents").select("doc_id", tokens(key_words(F.left("text", F.lit(300))), ("-",)).alias("t"))
+    rows = table(spark, sf_dir, "documents").select("doc_id", tokens(key_words(F.col("text")), ("-",)).alias("t"))
     a, b = (rows.select(F.col("doc_id").alias(f"idx_{x}"), F.col("t").alias(f"t{x}")) for x in "ab")
     both = dedupe.pairs_in_blocks(_blocks(spark, sf_dir)).join(a, "idx_a").join(b, "idx_b")
     return both.select("idx_a", "idx_b", jaccard(F.col("ta"), F.col("tb")).alias("jaccard"), containment(F.col("ta"), F.col("tb")).alias("containment"))
@@ -88,7 +88,7 @@ def q29_components(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedupe.connected(table(spark, sf_dir, "documents").select("doc_id"), dedupe.pairs_in_blocks(_blocks(spark, sf_dir)), "doc_id")
 
 
-@R.query("""WITH d AS (SELECT md5(substr(text, 1, 40)) AS g, doc_id, nullif(CASE WHEN doc_id % 2 = 0 THEN lang ELSE '' END, '') AS lang, source, substr(text, 1, 80) AS title, 'http://x/' || doc_id AS url, round(n_chars / 1000, 3) AS mw, n_chars AS score FROM documents),
+@R.query("""WITH d AS (SELECT md5(text) AS g, doc_id, nullif(CASE WHEN doc_id % 2 = 0 THEN lang ELSE '' END, '') AS lang, source, source || ' ' || lang || ' ' || doc_id AS title, 'http://x/' || doc_id AS url, round(n_chars / 1000, 3) AS mw, n_chars AS score FROM documents),
 f AS (SELECT g, lang FROM (SELECT g, lang, row_number() OVER (PARTITION BY g ORDER BY score DESC, doc_id) AS rn FROM d WHERE lang IS NOT NULL) WHERE rn = 1),
 mode AS (SELECT g, source FROM (SELECT g, source, row_number() OVER (PARTITION BY g ORDER BY count(*) DESC, min(doc_id)) AS rn FROM d GROUP BY g, source) WHERE rn = 1),
 mm AS (SELECT g, mw FROM (SELECT g, mw, row_number() OVER (PARTITION BY g ORDER BY count(*) DESC, min(doc_id)) AS rn FROM d GROUP BY g, mw) WHERE rn = 1),
@@ -96,10 +96,10 @@ t AS (SELECT g, count(*) AS group_size, array_to_string(list_slice(list_sort(lis
 l AS (SELECT g, title FROM (SELECT g, title, row_number() OVER (PARTITION BY g ORDER BY length(title) DESC, doc_id) AS rn FROM d) WHERE rn = 1)
 SELECT t.g, group_size, f.lang, mode.source AS source_mode, mm.mw AS mw_mode, l.title AS longest_title, titles FROM t LEFT JOIN f USING (g) LEFT JOIN mode USING (g) LEFT JOIN mm USING (g) LEFT JOIN l USING (g)""")
 def q30_merge_group(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row of each group of documents that begin alike."""
+    """One row of each group of documents of equal texts."""
     rows = table(spark, sf_dir, "documents").select(
-        F.md5(F.left("text", F.lit(40))).alias("g"), F.col("doc_id").alias("row_idx"), F.when(F.col("doc_id") % 2 == 0, F.col("lang")).otherwise("").alias("lang"), "source",
-        F.left("text", F.lit(80)).alias("title"), F.concat(F.lit("http://x/"), F.col("doc_id").cast("string")).alias("url"), (F.col("n_chars") / 1000).alias("mw"), F.col("n_chars").alias("score"),
+        F.md5("text").alias("g"), F.col("doc_id").alias("row_idx"), F.when(F.col("doc_id") % 2 == 0, F.col("lang")).otherwise("").alias("lang"), "source",
+        F.concat_ws(" ", "source", "lang", F.col("doc_id").cast("string")).alias("title"), F.concat(F.lit("http://x/"), F.col("doc_id").cast("string")).alias("url"), (F.col("n_chars") / 1000).alias("mw"), F.col("n_chars").alias("score"),
     )
     merged = dedupe.merge_groups(rows, "g", "score", ["lang"], ["source"], "title", "url", "mw", "source")
     return merged.select("g", "group_size", "lang", "source_mode", "mw_mode", "longest_title", F.array_join("merged_titles", "|").alias("titles"))
@@ -131,7 +131,7 @@ def _titled(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "part").select(
         k.alias("row_idx"), F.concat(F.lit("Impianto da "), true.cast("string"), F.lit(" MWp nel comune di Lucera (FG)")).alias("title"), F.when(k % 2 == 0, "Lazio").otherwise("emilia_romagna").alias("source"),
         F.when(k % 3 == 0, "").when(k % 3 == 1, "Foggia").otherwise("BA").alias("province"), F.when(k % 4 == 0, "Troia").otherwise("Lucera").alias("municipality"), F.when(k % 13 == 0, "12/03/2025").otherwise("Sole srl").alias("proponent"),
-        mw.cast("double").alias("mw"), F.lit(False).alias("is_aggregate"), (k % 50).alias("key"),
+        mw.cast("double").alias("mw"), F.lit(False).alias("is_aggregate"), k.alias("key"),
     )
 
 
@@ -154,8 +154,8 @@ def q32b_suspicious_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.suspicious(_titled(spark, sf_dir))
 
 
-@R.query(f"""WITH {_TITLED_SQL}, s AS (SELECT DISTINCT k % 50 AS key FROM t WHERE k % 4 = 0 OR (mw IS NOT NULL AND abs(mw - v) / greatest(mw, v, 1) > 0.05)),
-o AS (SELECT k AS row_idx, k % 50 AS key, mw, row_number() OVER (PARTITION BY k % 50 ORDER BY k) AS rn FROM t WHERE mw IS NOT NULL AND k % 50 NOT IN (SELECT key FROM s))
+@R.query(f"""WITH {_TITLED_SQL}, s AS (SELECT DISTINCT k AS key FROM t WHERE k % 4 = 0 OR (mw IS NOT NULL AND abs(mw - v) / greatest(mw, v, 1) > 0.05)),
+o AS (SELECT k AS row_idx, k AS key, mw, row_number() OVER (PARTITION BY k ORDER BY k) AS rn FROM t WHERE mw IS NOT NULL AND k NOT IN (SELECT key FROM s))
 SELECT row_idx, key, mw FROM o WHERE rn = 1 ORDER BY mw DESC, row_idx LIMIT 20""")
 def q32c_top_without_suspects(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The largest twenty, without keys that have a suspicious row."""
@@ -166,9 +166,8 @@ def q32c_top_without_suspects(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _PROVINCES = [
     ("FG", "FG", "FG"), ("Foggia", "FG", "FG"), ("provincia di Lecce", "LE", "LE"), ("LE/BR", "LEBR", "BR,LE"), ("Forlì-Cesena", "FC", "FC"), ("L'Aquila", "AQ", "AQ"),
-    ("", "", ""), ("Atlantide", "ATLANTIDE", "AT,DE"), ("Bari e Taranto", "BARIETARANTO", "BA,TA"), (None, "", ""),
+    ("", "", ""), ("Atlantide", "ATLANTIDE", "AT"), ("Bari e Taranto", "BARIETARANTO", "BA,RA,RI,TA"), (None, "", ""),
 ]
-_PROVINCES = [r for r in _PROVINCES if r[0] not in ("Atlantide", "Bari e Taranto")]
 
 
 @R.query(f"SELECT field, code, codes FROM {sql_values('field, code, codes', _PROVINCES)}")
@@ -235,11 +234,12 @@ def q33c_detail_page(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @R.query()
 def q38_similarity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """How alike the titles of the pairs of a block are; pairs whose lengths rule it out are left to 0."""
+    """How alike the titles of the pairs of a block are, where their lengths don't rule out 0.75; titles are the names of parts with type and size."""
     ship(spark)
-    rows = table(spark, sf_dir, "documents").select("doc_id", match_text(F.left("text", F.lit(160))).alias("t"))
-    a, b = (rows.select(F.col("doc_id").alias(f"idx_{x}"), F.col("t").alias(f"t{x}")) for x in "ab")
-    both = dedupe.pairs_in_blocks(_blocks(spark, sf_dir)).join(a, "idx_a").join(b, "idx_b").where(similarity_bound(F.col("ta"), F.col("tb")) >= 0.75)
+    rows = table(spark, sf_dir, "part").select("p_partkey", "p_brand", match_text(F.concat_ws(" ", "p_name", "p_type", "p_size")).alias("t"))
+    pairs = dedupe.pairs_in_blocks(rows.select(F.col("p_partkey").alias("row_idx"), F.concat_ws(":", "p_brand", F.substring_index("t", " ", 1)).alias("block")))
+    a, b = (rows.select(F.col("p_partkey").alias(f"idx_{x}"), F.col("t").alias(f"t{x}")) for x in "ab")
+    both = pairs.join(a, "idx_a").join(b, "idx_b").where(similarity_bound(F.col("ta"), F.col("tb")) >= 0.75)
     return both.select("idx_a", "idx_b", F.round(similarity()(F.col("ta"), F.col("tb")), 4).alias("similarity"))
 
 

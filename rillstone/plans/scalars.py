@@ -91,12 +91,12 @@ def q24m_completeness(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "customer").select("c_custkey", numbers.completeness([name, F.col("c_mktsegment")], [name, F.col("c_mktsegment"), F.col("c_acctbal")]).cast("int").alias("score"))
 
 
-@R.query(r"""SELECT doc_id, nullif(trim(regexp_replace(substr(text, 1, 300), '\s+', ' ', 'g')), '') AS normal, trim(regexp_replace(lower(strip_accents(substr(text, 1, 300))), '[^a-z0-9]+', ' ', 'g')) AS words,
-  regexp_replace(lower(strip_accents(substr(text, 1, 40))), '[^a-z0-9]+', '', 'g') AS compact, substr(sha1(substr(text, 1, 300)), 1, 16) AS hash FROM documents""")
+@R.query(r"""SELECT doc_id, nullif(trim(regexp_replace(text, '\s+', ' ', 'g')), '') AS normal, trim(regexp_replace(lower(strip_accents(text)), '[^a-z0-9]+', ' ', 'g')) AS words,
+  regexp_replace(lower(strip_accents(text)), '[^a-z0-9]+', '', 'g') AS compact, substr(sha1(text), 1, 16) AS hash FROM documents""")
 def q23_normalize_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """X1, X2, X4, X7."""
-    head = F.left("text", F.lit(300))
-    return table(spark, sf_dir, "documents").select("doc_id", text.normalize_text(head).alias("normal"), text.key_words(head).alias("words"), text.key_compact(F.left("text", F.lit(40))).alias("compact"), text.short_hash(head).alias("hash"))
+    whole = F.col("text")
+    return table(spark, sf_dir, "documents").select("doc_id", text.normalize_text(whole).alias("normal"), text.key_words(whole).alias("words"), text.key_compact(whole).alias("compact"), text.short_hash(whole).alias("hash"))
 
 
 @R.query(r"""WITH u AS (SELECT page_id, regexp_extract(url, '^([^?#]*)', 1) AS base FROM pages), d AS (SELECT page_id, base, replace(lower(regexp_extract(base, '://([^/]*)', 1)), 'www.', '') AS host, trim(lower(regexp_extract(base, '://[^/]*(.*)$', 1)), '/') AS path FROM u)
@@ -110,18 +110,18 @@ def q25_url_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "pages").select("page_id", urls.specific_key(url).alias("specific"), urls.generic_key(url).alias("generic"))
 
 
-@R.query("""WITH w AS (SELECT doc_id, list_filter(string_split(trim(regexp_replace(lower(strip_accents(substr(text, 1, 200))), '[^a-z0-9]+', ' ', 'g')), ' '), lambda x: x <> '') AS t FROM documents)
+@R.query("""WITH w AS (SELECT doc_id, list_filter(string_split(trim(regexp_replace(lower(strip_accents(text)), '[^a-z0-9]+', ' ', 'g')), ' '), lambda x: x <> '') AS t FROM documents)
 SELECT doc_id, array_to_string(list_slice(list_sort(list_distinct(t)), 1, 10), ' ') AS first_ten, CAST(len(list_distinct(t)) AS INTEGER) AS n FROM w""")
 def q40_list_normalize(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Distinct words, and the first ten of them."""
-    words = F.filter(F.split(text.key_words(F.left("text", F.lit(200))), " "), lambda x: x != "")
+    words = F.filter(F.split(text.key_words(F.col("text")), " "), lambda x: x != "")
     return table(spark, sf_dir, "documents").select("doc_id", F.array_join(text.first_sorted(words), " ").alias("first_ten"), F.size(text.merge_lists(words, words)).alias("n"))
 
 
-@R.query("""SELECT page_id, replace(replace(replace(substr(html, 1, 200), '&', '&amp;'), '<', '&lt;'), '>', '&gt;') AS escaped FROM (SELECT page_id, replace(html, '"', '') AS html FROM pages)""")
+@R.query("""SELECT page_id, replace(replace(replace(html, '&', '&amp;'), '<', '&lt;'), '>', '&gt;') AS escaped FROM (SELECT page_id, replace(html, '"', '') AS html FROM pages)""")
 def q42m_escaped(spark: SparkSession, sf_dir: str) -> DataFrame:
     """X18."""
-    return table(spark, sf_dir, "pages").select("page_id", text.escape_html(F.left(F.replace("html", F.lit('"'), F.lit("")), F.lit(200))).alias("escaped"))
+    return table(spark, sf_dir, "pages").select("page_id", text.escape_html(F.replace("html", F.lit('"'), F.lit(""))).alias("escaped"))
 
 
 @R.query("""SELECT event_id, replace(props, '"k"', '"kk"') AS props FROM events""")

@@ -98,18 +98,20 @@ _POLICY = {"o_orderstatus": "overwrite", "o_orderpriority": "fill", "url": "link
 
 
 def _sides(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """A master of orders but each fifth, and a batch of even ones, changed by rule; each tenth comes twice."""
-    k = F.col("o_orderkey")
-    orders = table(spark, sf_dir, "orders").select(k.alias("k"), "o_orderstatus", "o_orderpriority", F.lit("http://old").alias("url"))
-    master = orders.where("k % 5 <> 0").withColumn("o_orderpriority", F.when(F.col("k") % 3 != 0, F.col("o_orderpriority")))
-    even = orders.where("k % 2 = 0").withColumns({"o_orderstatus": F.when(F.col("k") % 4 == 0, "X").otherwise(F.concat(F.lit(" "), "o_orderstatus")), "url": F.when(F.col("k") % 8 == 0, "http://new").otherwise("ftp://new"), "row_idx": F.lit(2)})
-    early = orders.where("k % 10 = 0").withColumns({"o_orderstatus": F.lit("EARLY"), "row_idx": F.lit(1)})
-    return master, even.unionByName(early)
+    """A master of all orders, and a batch of all of them twice, changed by rule; the keys of each fifth are new there."""
+    k = F.col("k")
+    orders = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("k"), "o_orderstatus", "o_orderpriority", F.lit("http://old").alias("url"))
+    master = orders.withColumn("o_orderpriority", F.when(k % 3 != 0, F.col("o_orderpriority")))
+    status = F.when(k % 4 == 0, "X").when(k % 4 == 1, F.col("o_orderstatus")).otherwise(F.concat(F.lit(" "), "o_orderstatus"))
+    late = orders.withColumns({"o_orderstatus": status, "url": F.when(k % 8 == 0, "http://new").otherwise("ftp://new"), "row_idx": F.lit(2)})
+    both = late.unionByName(orders.withColumns({"o_orderstatus": F.lit("EARLY"), "row_idx": F.lit(1)}))
+    return master, both.withColumn("k", F.when(k % 5 == 0, -k - 1).otherwise(k))
 
 
 _UPSERT_SQL = """
-m AS (SELECT o_orderkey AS k, o_orderstatus AS s, CASE WHEN o_orderkey % 3 <> 0 THEN o_orderpriority END AS p, 'http://old' AS u FROM orders WHERE o_orderkey % 5 <> 0),
-b AS (SELECT o_orderkey AS k, CASE WHEN o_orderkey % 4 = 0 THEN 'X' ELSE ' ' || o_orderstatus END AS s, o_orderpriority AS p, CASE WHEN o_orderkey % 8 = 0 THEN 'http://new' ELSE 'ftp://new' END AS u FROM orders WHERE o_orderkey % 2 = 0),
+m AS (SELECT o_orderkey AS k, o_orderstatus AS s, CASE WHEN o_orderkey % 3 <> 0 THEN o_orderpriority END AS p, 'http://old' AS u FROM orders),
+b AS (SELECT CASE WHEN o_orderkey % 5 = 0 THEN -o_orderkey - 1 ELSE o_orderkey END AS k, CASE o_orderkey % 4 WHEN 0 THEN 'X' WHEN 1 THEN o_orderstatus ELSE ' ' || o_orderstatus END AS s, o_orderpriority AS p,
+  CASE WHEN o_orderkey % 8 = 0 THEN 'http://new' ELSE 'ftp://new' END AS u FROM orders),
 j AS (SELECT coalesce(m.k, b.k) AS k, m.k IS NULL AS is_new, b.k IS NULL AS kept, m.s AS ms, b.s AS bs, m.p AS mp, b.p AS bp, m.u AS mu, b.u AS bu,
   m.k IS NOT NULL AND b.k IS NOT NULL AND trim(b.s) <> m.s AS cs, m.k IS NOT NULL AND b.k IS NOT NULL AND m.p IS NULL AS cp, m.k IS NOT NULL AND b.k IS NOT NULL AND starts_with(b.u, 'http') AS cu
   FROM m FULL JOIN b ON m.k = b.k),
@@ -139,24 +141,25 @@ def q18c_change_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ingest.events(plan, "k", F.lit("2024-01-30").cast("timestamp_ntz")).select("k", "event_type")
 
 
-@R.query("""WITH a AS (SELECT user_id, event_type, value, ts, 0 AS side FROM events WHERE event_id % 2 = 0 UNION ALL SELECT user_id, event_type, value + 1, ts, 1 FROM events WHERE event_id % 3 = 0),
+@R.query("""WITH a AS (SELECT user_id, event_type, value, ts, 0 AS side FROM events UNION ALL SELECT user_id, event_type, value + 1, CASE WHEN event_id % 3 = 0 THEN ts ELSE ts - INTERVAL 1 DAY END, 1 FROM events),
 r AS (SELECT *, row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC, side DESC) AS rn FROM a) SELECT user_id, event_type, value, ts FROM r WHERE rn = 1""")
 def q18d_upsert_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K2: the most recent row of each key of a table and a batch."""
     rows = table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "value", "ts")
-    old = rows.where("event_id % 2 = 0").drop("event_id")
-    new = rows.where("event_id % 3 = 0").withColumn("value", F.col("value") + 1).drop("event_id")
-    return ingest.upsert_latest(old, new, ["user_id", "event_type"], "ts")
+    new = rows.withColumns({"value": F.col("value") + 1, "ts": F.when(F.col("event_id") % 3 == 0, F.col("ts")).otherwise(F.col("ts") - F.expr("INTERVAL 1 DAY"))})
+    return ingest.upsert_latest(rows.drop("event_id"), new.drop("event_id"), ["user_id", "event_type"], "ts")
 
 
 @R.query("""SELECT coalesce(s.name, b.name) AS name, CASE WHEN b.url IS NOT NULL AND b.url IS DISTINCT FROM s.base_url THEN b.url ELSE s.base_url END AS base_url FROM
-  (SELECT n_name AS name, 'http://' || n_regionkey AS base_url FROM nation WHERE n_nationkey % 3 <> 0) s FULL JOIN (SELECT n_name AS name, 'http://' || (n_regionkey % 2) AS url FROM nation WHERE n_nationkey % 2 = 0) b ON s.name = b.name""")
+  (SELECT n_name AS name, 'http://' || n_regionkey AS base_url FROM nation) s FULL JOIN
+  (SELECT CASE WHEN n_nationkey % 3 = 0 THEN n_name || ' II' ELSE n_name END AS name, 'http://' || (n_regionkey % 2) AS url FROM nation) b ON s.name = b.name""")
 def q18e_upsert_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K1."""
     rows = table(spark, sf_dir, "nation")
     url = lambda c: F.concat(F.lit("http://"), c.cast("string")).alias("base_url")
-    old = rows.where("n_nationkey % 3 <> 0").select(F.col("n_name").alias("name"), url(F.col("n_regionkey")))
-    return ingest.upsert_sources(old, rows.where("n_nationkey % 2 = 0").select(F.col("n_name").alias("name"), url(F.col("n_regionkey") % 2)))
+    old = rows.select(F.col("n_name").alias("name"), url(F.col("n_regionkey")))
+    name = F.when(F.col("n_nationkey") % 3 == 0, F.concat("n_name", F.lit(" II"))).otherwise(F.col("n_name"))
+    return ingest.upsert_sources(old, rows.select(name.alias("name"), url(F.col("n_regionkey") % 2)))
 
 
 @R.query("""SELECT page_id, sha1(CASE page_id % 3 WHEN 0 THEN 'url|' || url WHEN 1 THEN 'external|' || page_id ELSE 'page ' || page_id || '||region|a b|' || CAST(page_id AS DOUBLE) END) AS project_key FROM pages""")
@@ -172,9 +175,9 @@ def q19_project_key_sha1(spark: SparkSession, sf_dir: str) -> DataFrame:
 _FIELDS = {"p_name": "text", "p_brand": "text", "p_retailprice": "number"}
 
 
-@R.query("""WITH o AS (SELECT CAST(p_partkey AS VARCHAR) AS key, p_name, p_brand, p_retailprice FROM part WHERE p_partkey % 7 <> 0),
-n AS (SELECT CAST(p_partkey AS VARCHAR) AS key, CASE WHEN p_partkey % 5 = 0 THEN upper(p_name) WHEN p_partkey % 4 = 0 THEN p_name || ' x' ELSE p_name END AS p_name,
-  p_brand, CASE WHEN p_partkey % 3 = 0 THEN p_retailprice + 1 ELSE p_retailprice END AS p_retailprice FROM part WHERE p_partkey % 11 <> 0),
+@R.query("""WITH o AS (SELECT CAST(p_partkey AS VARCHAR) AS key, p_name, p_brand, p_retailprice FROM part),
+n AS (SELECT CASE WHEN p_partkey % 11 = 0 THEN 'new ' ELSE '' END || p_partkey AS key, CASE WHEN p_partkey % 5 = 0 THEN upper(p_name) WHEN p_partkey % 4 = 0 THEN p_name || ' x' ELSE p_name END AS p_name,
+  p_brand, CASE WHEN p_partkey % 3 = 0 THEN p_retailprice + 1 ELSE p_retailprice END AS p_retailprice FROM part),
 j AS (SELECT coalesce(o.key, n.key) AS key, o.key IS NULL AS a, n.key IS NULL AS r, o.p_name AS on_, n.p_name AS nn, o.p_retailprice AS op, n.p_retailprice AS np FROM o FULL JOIN n USING (key))
 SELECT key, 'added' AS change_type, NULL::VARCHAR AS field, NULL::VARCHAR AS new_value FROM j WHERE a
 UNION ALL SELECT key, 'removed', NULL, NULL FROM j WHERE r
@@ -185,7 +188,8 @@ def q20_snapshot_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.col("p_partkey")
     rows = table(spark, sf_dir, "part").select(k, k.cast("string").alias("key"), k.alias("row_idx"), "p_name", "p_brand", "p_retailprice")
     changed = rows.withColumns({"p_name": F.when(k % 5 == 0, F.upper("p_name")).when(k % 4 == 0, F.concat("p_name", F.lit(" x"))).otherwise(F.col("p_name")), "p_retailprice": F.when(k % 3 == 0, F.col("p_retailprice") + 1).otherwise(F.col("p_retailprice"))})
-    found = diff.snapshot_diff(rows.where("p_partkey % 7 <> 0"), changed.where("p_partkey % 11 <> 0"), "key", _FIELDS)
+    changed = changed.withColumn("key", F.concat(F.when(k % 11 == 0, "new ").otherwise(""), "key"))
+    found = diff.snapshot_diff(rows, changed, "key", _FIELDS)
     return found.select("key", "change_type", "field", "new_value")
 
 
