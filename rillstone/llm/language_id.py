@@ -10,7 +10,9 @@ the sample that isn't trained on, calibrates the probabilities.
 
 A text that is null or has no letter is ``und`` with a score of 0; so is every
 text if there is no labelled row. With one label, it is predicted with a
-score of 1. Repeated rows get equal predictions; extra columns are ignored.
+score of 1. Repeated rows get equal predictions, and rows with a null doc_id,
+or one that several texts share, are judged by their text as all others;
+extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -194,8 +196,8 @@ def document_frequencies(docs: DataFrame) -> tuple[np.ndarray, int]:
 def train(docs: DataFrame, train_rows: int = TRAIN_ROWS) -> Model:
     """A model of the labelled rows among docs (doc_id, text, lang), which must not be held out.
 
-    The sample is bounded by about train_rows, chosen by a hash of the id; its
-    vectors, some kilobytes each, are trained on the driver.
+    The sample is bounded by about train_rows, chosen by a hash of id and text;
+    its vectors, some kilobytes each, are trained on the driver.
     """
     labelled = docs.where("lang is not null and text is not null")
     per_lang = {r["lang"]: r["count"] for r in labelled.groupBy("lang").count().collect()}
@@ -208,7 +210,7 @@ def train(docs: DataFrame, train_rows: int = TRAIN_ROWS) -> Model:
     quota = max(LEAST_ROWS, train_rows // len(langs))
     whole = 1_000_000
     share = F.element_at(F.create_map(*(F.lit(x) for lang in langs for x in (lang, min(whole, math.ceil(whole * quota / per_lang[lang]))))), F.col("lang"))
-    sample = labelled.where(F.pmod(F.xxhash64(F.col("doc_id").cast("string"), F.lit("lang")), F.lit(whole)) < share)
+    sample = labelled.where(F.pmod(F.xxhash64(F.col("doc_id").cast("string"), F.col("text"), F.lit("lang")), F.lit(whole)) < share)
 
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -216,7 +218,7 @@ def train(docs: DataFrame, train_rows: int = TRAIN_ROWS) -> Model:
             yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in out], pa.string()), pa.array([x[1] for x in out], pa.string()), pa.array([x[2].tobytes() for x in out], pa.binary()), pa.array([x[3].tobytes() for x in out], pa.binary())], ["key", "lang", "columns", "val"])
 
     made = sample.select(F.col("doc_id").cast("string").alias("key"), "lang", "text").mapInArrow(vectors, "key string, lang string, columns binary, val binary")
-    rows = sorted(materialize(made, "lang-vectors").collect(), key=lambda r: (r["key"], r["lang"], bytes(r["columns"])))
+    rows = sorted(materialize(made, "lang-vectors").collect(), key=lambda r: (r["key"] or "", r["lang"], bytes(r["columns"])))
     rows = [(np.frombuffer(r["columns"], np.int32), np.frombuffer(r["val"], np.float32), langs.index(r["lang"])) for r in rows]
     if not rows:
         return Model([], none, np.zeros(0), idf)
