@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import WORD_REGEX, materialize, null_text
+from .common import BROADCAST_ROWS, WORD_REGEX, materialize, null_text, scratch
 
 #: Weights of the sources by code point, repeating.
 WEIGHTS = (1, 2, 3)
@@ -29,6 +29,8 @@ WEIGHTS = (1, 2, 3)
 MAX_EPOCHS = 3
 #: Ranges of keys.
 BUCKETS = 4096
+#: Sources that one task sorts, about.
+SOURCES_PER_TASK = 500_000
 SEED = "mix-1"
 
 
@@ -55,36 +57,41 @@ def sized(docs: DataFrame, seed: str = SEED) -> DataFrame:
     return docs.select("doc_id", "source", n_words(F.col("text")).alias("size"), (-F.log(u) / quality_weight(F.col("text"))).alias("key"))
 
 
+def numbered(per: DataFrame) -> DataFrame:
+    """The sources with their place in the order of code points, null last: ranges of sources are sorted, and the rows of the ranges before added."""
+    n = per.count()
+    order = F.col("source").asc_nulls_last()
+    rows = materialize(per.repartitionByRange(n // SOURCES_PER_TASK + 1, order).sortWithinPartitions(order).withColumn("__id", F.monotonically_increasing_id()), "sources")
+    part = F.shiftright("__id", 33)
+    ahead, offsets = 0, []
+    for r in sorted(rows.groupBy(part.alias("part")).count().collect()):  # a row for each range
+        offsets += [F.lit(r["part"]), F.lit(ahead)]
+        ahead += r["count"]
+    before = F.element_at(F.create_map(*offsets), part) if offsets else F.lit(0)
+    return rows.withColumn("place", before + F.col("__id").bitwiseAND((1 << 33) - 1)).drop("__id")
+
+
 def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_epochs: int = MAX_EPOCHS) -> DataFrame:
     """source, source_size and target of each source.
 
-    With the sources in the order of size by weight, those whose share would
-    exceed the limit come first; the others share the rest by weight. Sums of
-    integers and one division give each target. One row per source is sorted
-    in one task.
+    Sources whose share by weight would exceed the limit are held at it, and
+    the rest is shared anew by weight, until none exceeds it. Each round is
+    one aggregate over the sources, however many they are; sums of integers
+    and one division give each target.
     """
-    per = sizes.groupBy("source").agg(F.sum("size").alias("source_size"))
-    by_name = W.orderBy(F.col("source").asc_nulls_last())
-    numbered = per.withColumn("w", F.element_at(F.array(*map(F.lit, weights)), ((F.row_number().over(by_name) - 1) % len(weights)) + 1).cast("long"))
-    everything = W.partitionBy()
-    before = W.orderBy(F.col("source_size") / F.col("w"), F.col("source").asc_nulls_last()).rowsBetween(W.unboundedPreceding, -1)
-    summed = numbered.select(
-        "*",
-        F.sum("source_size").over(everything).alias("total"),
-        F.sum("w").over(everything).alias("all_w"),
-        F.coalesce(F.sum("source_size").over(before), F.lit(0)).alias("size_before"),
-        F.coalesce(F.sum("w").over(before), F.lit(0)).alias("w_before"),
-    )
-    # those before it being at their limit, its share of the rest would exceed its own
-    capped = F.col("w") * (F.col("total") - max_epochs * F.col("size_before")) > max_epochs * F.col("source_size") * (F.col("all_w") - F.col("w_before"))
-    marked = summed.withColumn("capped", capped)
-    rest = marked.select(
-        "source", "source_size", "w", "capped", "total",
-        F.coalesce(F.sum(F.when(F.col("capped"), F.col("source_size"))).over(everything), F.lit(0)).alias("capped_size"),
-        F.coalesce(F.sum(F.when(~F.col("capped"), F.col("w"))).over(everything), F.lit(0)).alias("free_w"),
-    )
-    share = F.try_divide((F.col("w") * (F.col("total") - max_epochs * F.col("capped_size"))).cast("double"), F.col("free_w").cast("double"))
-    return rest.select("source", "source_size", F.when(F.col("capped"), (max_epochs * F.col("source_size")).cast("double")).otherwise(share).alias("target"))
+    per = numbered(sizes.groupBy("source").agg(F.sum("size").alias("source_size")))
+    per = per.withColumn("w", F.element_at(F.array(*map(F.lit, weights)), (F.col("place") % len(weights) + 1).cast("int")).cast("long"))
+    capped, held = F.lit(False), -1
+    while True:
+        free = F.sum(F.when(~capped, F.col("w")))
+        row = per.agg(F.sum("source_size"), F.sum(F.when(capped, F.col("source_size"))), free, F.count_if(capped)).first()
+        total, capped_size, free_w = (x or 0 for x in row[:3])
+        if row[3] == held:
+            break
+        held = row[3]
+        capped = F.col("w") * F.lit(total - max_epochs * capped_size) > F.col("source_size") * F.lit(max_epochs * free_w)
+    share = F.try_divide((F.col("w") * F.lit(total - max_epochs * capped_size)).cast("double"), F.lit(free_w).cast("double"))
+    return per.select("source", "source_size", F.when(capped, (max_epochs * F.col("source_size")).cast("double")).otherwise(share).alias("target"))
 
 
 def _bucket(key: Column) -> Column:
@@ -121,9 +128,13 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_epochs: int = M
 def mixture(docs: DataFrame, **options) -> DataFrame:
     """The documents that the mix takes, with all their columns and size, source_size, target, taken and repeats.
 
-    doc_id must be unique. Texts are shuffled once, by doc_id.
+    doc_id must be unique; rows with a null one are not taken. The plan, a row
+    of numbers for each document that is taken, is broadcast up to a checked
+    number of rows, so texts aren't shuffled; beyond that both sides are, once.
     """
-    plan = materialize(mix(docs, **options).drop("source"), "mix")
     added = ("size", "source_size", "target", "taken", "repeats")
-    chosen = plan.where("taken > 0").withColumn("repeats", (F.col("taken") / F.col("size")).cast("int"))
-    return docs.drop(*added).join(chosen.hint("shuffle_hash"), "doc_id")
+    with scratch() as keep:
+        chosen = mix(docs, **options).drop("source").where("taken > 0").withColumn("repeats", (F.col("taken") / F.col("size")).cast("int"))
+        plan = keep(materialize(chosen, "mix"))
+    small = plan.limit(BROADCAST_ROWS // 4 + 1).count() <= BROADCAST_ROWS // 4
+    return docs.drop(*added).join(F.broadcast(plan) if small else plan.hint("shuffle_hash"), "doc_id")

@@ -79,3 +79,20 @@ def test_mixture_repeats(spark):
     docs = frame(spark, 4, {"a": 10, "b": 100})
     rows = M.mixture(docs).collect()
     assert rows and all(r.taken == r.repeats * r.size and r.repeats >= 1 for r in rows)
+
+
+def test_sources_are_numbered_over_several_ranges(spark, monkeypatch):
+    monkeypatch.setattr(M, "SOURCES_PER_TASK", 5)
+    names = [None, "Z", "a", "é", "\U00010000", *(f"s{i:02}" for i in range(30))]
+    per = spark.createDataFrame([(n, 1) for n in names], "source string, source_size long")
+    want = {n: i for i, n in enumerate([*sorted((n for n in names if n is not None), key=lambda s: s.encode()), None])}
+    assert {r.source: r.place for r in M.numbered(per).collect()} == want
+
+
+def test_mixture_by_broadcast_and_by_shuffle(spark, monkeypatch):
+    docs = frame(spark, 6, {"a": 40, "b": 5, "c": 80})
+    rows = lambda: sorted(tuple(r) for r in M.mixture(docs).collect())
+    want = rows()
+    assert want and "BroadcastHashJoin" in M.mixture(docs)._jdf.queryExecution().executedPlan().toString()
+    monkeypatch.setattr(M, "BROADCAST_ROWS", 0)
+    assert rows() == want
