@@ -50,7 +50,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import BROADCAST_ROWS, arrow_rows, materialize, release, restrict
+from .common import BROADCAST_ROWS, arrow_rows, materialize, release, restrict, scratch
 from .components import components, union_find
 
 SHINGLE = 5
@@ -584,13 +584,13 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 def keep(docs: DataFrame) -> DataFrame:
     """The documents, with all their columns, that near_duplicates() keeps: one of each component, and one of rows that repeat a doc_id; all without one."""
-    found = near_duplicates(docs).where("doc_id is not null")
-    found = materialize(found.groupBy("doc_id").agg(F.count("*").alias("n"), F.max("kept").alias("kept")).where("not kept or n > 1"), "dropped-or-repeated")
-    n = found.count()
-    out = materialize(found.where("not kept").select("doc_id"), "dropped", n)
+    with scratch() as stays:
+        found = near_duplicates(docs).where("doc_id is not null")
+        found = materialize(found.groupBy("doc_id").agg(F.count("*").alias("n"), F.max("kept").alias("kept")).where("not kept or n > 1"), "dropped-or-repeated")
+        n = found.count()
+        out = stays(materialize(found.where("not kept").select("doc_id"), "dropped", n))
+        repeated = stays(materialize(found.where("kept").select("doc_id"), "repeated", n))
     left = restrict(docs, out, "doc_id", False)
-    repeated = materialize(found.where("kept").select("doc_id"), "repeated", n)
-    release(found)
     if not repeated.limit(1).count():
         return left
     return restrict(left, repeated, "doc_id", False).unionByName(restrict(left, repeated, "doc_id", True).dropDuplicates(["doc_id"]))

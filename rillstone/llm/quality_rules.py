@@ -22,7 +22,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACES, WORD_REGEX, materialize, null_text
+from .common import SPACES, WORD_REGEX, materialize, null_text, scratch
 
 #: Labelled rows that the list is learned from, chosen by hash: at most about so many.
 TRAIN_ROWS = 20_000
@@ -70,15 +70,17 @@ def with_stats(docs: DataFrame) -> DataFrame:
     and place, so that equal windows are neighbours. The cost of a text is
     that of a sort of its windows.
     """
-    docs = docs.drop(*STATS, *HIDDEN, "__t", "__w", "__h", "__lines", "__at")
+    docs = docs.drop(*STATS, *HIDDEN, "__t", "__w", "__x", "__h", "__lines", "__at")
     size = F.lit(REPEAT_WINDOW)
     out = docs.withColumn("__t", null_text(F.col("text")))
     trimmed = F.btrim("__t", F.lit(SPACES))
     out = out.withColumn("__w", F.when(trimmed == "", F.array().cast("array<string>")).otherwise(F.split(trimmed, r"[\x20\x09-\x0D]++")))
     out = out.withColumn("n_words", F.size("__w").cast("long"))
-    out = out.withColumn("__n_distinct", F.size(F.array_distinct("__w")).cast("long"))
-    window = lambda i: F.xxhash64(F.slice("__w", i, size))
-    out = out.withColumn("__h", F.when(F.col("n_words") >= size, F.transform(F.sequence(F.lit(1), F.size("__w") - (size - 1)), window)).otherwise(F.array().cast("array<bigint>")))
+    # each word is hashed once; a window's hash is made of its words'
+    out = out.withColumn("__x", F.transform("__w", lambda w: F.xxhash64(w)))
+    window = lambda i: F.xxhash64(*(F.get("__x", i + k) for k in range(REPEAT_WINDOW)))
+    out = out.withColumn("__h", F.when(F.col("n_words") >= size, F.transform(F.sequence(F.lit(0), F.size("__x") - size), window)).otherwise(F.array().cast("array<bigint>")))
+    out = out.withColumn("__n_distinct", F.size(F.array_distinct("__x")).cast("long"))
     out = out.withColumn("__h", F.when(F.size(F.array_distinct("__h")) < F.size("__h"), F.col("__h")).otherwise(F.array().cast("array<bigint>")))
     # equal hashes stand together: those like a neighbour give the places of repeated windows
     out = out.withColumn("__h", F.sort_array(F.transform("__h", lambda h, i: F.struct(h.alias("h"), i.alias("i")))))
@@ -96,7 +98,7 @@ def with_stats(docs: DataFrame) -> DataFrame:
         "__n_upper": _left("__t", r"\P{Lu}++"),
         "__n_marks": _left("__t", r"[^.,;:!?]++"),
         "__n_letters": _left("__t", r"\P{L}++"),
-    }).drop("__t", "__w", "__h", "__at", "__lines")
+    }).drop("__t", "__w", "__x", "__h", "__at", "__lines")
 
 
 def base_failed() -> Column:
@@ -229,7 +231,12 @@ def learn(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> D
 
     Rows that fail the base rules are rejected anyway and teach nothing.
     """
-    rows = _training_rows(docs, labels, train_rows)
+    with scratch():
+        return _learned(_training_rows(docs, labels, train_rows))
+
+
+def _learned(rows: DataFrame) -> DecisionList:
+    """The list that the rows teach: growing, pruning, and leaving out what is covered, in turns."""
     learned = DecisionList()
     names = list(FEATURES)
     probabilities = [i / BINS for i in range(1, BINS)]

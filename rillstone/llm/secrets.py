@@ -199,7 +199,8 @@ def redact(docs: DataFrame, ledger: DataFrame | None = None, rules_version: str
     those with one are joined, by broadcast where their number allows it.
     """
     spark = docs.sparkSession
-    found = materialize(findings(docs, ledger, rules_version).where("spans <> ''").select("doc_id", F.col("blob").alias("__blob"), F.col("spans").alias("__spans")), "found")
+    with scratch() as keep:
+        found = keep(materialize(findings(docs, ledger, rules_version).where("spans <> ''").select("doc_id", F.col("blob").alias("__blob"), F.col("spans").alias("__spans")), "found"))
     spans = found.select("__blob", "__spans").dropDuplicates(["__blob"])
     blob = F.sha2(null_text(F.col("text")), 256)
     if found.limit(BROADCAST_ROWS // 10 + 1).count() <= BROADCAST_ROWS // 10:
