@@ -16,8 +16,9 @@ from pyspark.sql import functions as F
 
 from rillstone.functions import geo, urls
 from rillstone.functions.numbers import power_close, power_conflict
-from rillstone.functions.text import containment, jaccard, match_text, null_if_blank, short_hash, similarity, tokens
-from rillstone.operators.ordered import keep_first
+from rillstone.functions.text import containment, jaccard, match_text, null_if_blank, settled, short_hash, similarity, tokens
+from rillstone.operators.lineage import settle
+from rillstone.operators.ordered import least_per_key
 from rillstone.operators.rules import is_aggregate, reason
 
 MAX_BLOCK = 80
@@ -127,14 +128,15 @@ def _evidence(sim: Column) -> list[tuple[str, int, Column]]:
 def score_pairs(canon: DataFrame, pairs: DataFrame, use_similarity: bool = True) -> DataFrame:
     """idx_a, idx_b, merge, score and reason of each pair.
 
-    Pairs in conflict are told apart first, so the similarity of titles, the
-    one Python function here, sees only the others.
+    Pairs meet once. Those in conflict give the similarity of titles, the one
+    Python function here, nothing to compare. A conflict's reason names the
+    values that differ.
     """
-    both = _sides(canon, pairs).withColumn("conflict", conflict())
-    against = both.where("conflict is not null").select("idx_a", "idx_b", F.lit(False).alias("merge"), F.lit(0).alias("score"), F.col("conflict").alias("reason"))
+    rest = _sides(canon, pairs).withColumn("conflict", settled(conflict()))
+    free = F.col("conflict").isNull()
     sim = F.col("__sim")
-    rest = both.where("conflict is null")
-    rest = rest.withColumn("__sim", similarity()(F.col("a_title_norm"), F.col("b_title_norm")) if use_similarity else F.when((F.col("a_title_norm") != "") & (F.col("a_title_norm") == F.col("b_title_norm")), 1.0).otherwise(0.0))
+    equal = F.when((F.col("a_title_norm") != "") & (F.col("a_title_norm") == F.col("b_title_norm")), 1.0).otherwise(0.0)
+    rest = rest.withColumn("__sim", similarity()(F.when(free, F.col("a_title_norm")), F.when(free, F.col("b_title_norm"))) if use_similarity else equal)
     found = _evidence(sim)
     points = [F.when(F.coalesce(c, F.lit(False)), n).otherwise(0) for _, n, c in found]
     names = F.array_join(F.array_compact(F.array(*(F.when(F.coalesce(c, F.lit(False)), F.lit(n)) for n, _, c in found))), "+")
@@ -145,11 +147,22 @@ def score_pairs(canon: DataFrame, pairs: DataFrame, use_similarity: bool = True)
     exact = (a("title_norm") == b("title_norm")) & (a("source_norm") == b("source_norm"))
     enough = (F.col("score") >= 90) | (same("title_norm") & (F.col("score") >= 75)) | (F.contains("__names", F.lit("mase_cross_source")) & (F.col("score") >= 75))
     enough = enough | (same("proponent_norm") & same("municipality_norm") & power_close(a("mw"), b("mw")) & (sim >= 0.75))
-    judged = rest.select(
-        "idx_a", "idx_b", F.when(aggregates, exact).otherwise(enough).alias("merge"), F.when(aggregates & exact, 100).otherwise(F.col("score")).alias("score"),
-        F.when(aggregates & exact, "terna_exact_aggregate_duplicate").when(aggregates, "terna_aggregate_not_exact").when(F.col("__names") != "", F.col("__names")).otherwise("insufficient_evidence").alias("reason"),
+    exactly = aggregates & exact
+    why = F.when(exactly, "terna_exact_aggregate_duplicate").when(aggregates, "terna_aggregate_not_exact").when(F.col("__names") != "", F.col("__names")).otherwise("insufficient_evidence")
+    return rest.select(
+        "idx_a", "idx_b", (free & F.when(aggregates, exact).otherwise(enough)).alias("merge"), F.when(~free, 0).when(exactly, 100).otherwise(F.col("score")).alias("score"),
+        F.coalesce("conflict", why).alias("reason"), F.when(~free, _opposed()).alias("values"),
     )
-    return against.unionByName(judged)
+
+
+def _opposed() -> Column:
+    """M9: the values of two records that are in conflict, as a | b."""
+    told = lambda x: F.concat_ws(", ", F.array_join(F.col(f"{x}_province_codes"), "/"), f"{x}_municipality_norm", f"{x}_hint", F.col(f"{x}_mw").cast("string"))
+    fields = {"province_conflict": lambda x: F.array_join(F.col(f"{x}_province_codes"), "/"), "municipality_conflict": lambda x: F.col(f"{x}_municipality_norm"), "mw_conflict": lambda x: F.col(f"{x}_mw").cast("string"), "terna_aggregate_vs_project": lambda x: F.col(f"{x}_source_norm")}
+    out = F.concat_ws(" | ", told("a"), told("b"))
+    for name, of in fields.items():
+        out = F.when(F.col("conflict") == name, F.concat_ws(" | ", of("a"), of("b"))).otherwise(out)
+    return out
 
 
 def pair_reports(scored: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -164,19 +177,15 @@ def connected(nodes: DataFrame, links: DataFrame, id_col: str = "row_idx") -> Da
     own label; labels spread over halved distances. Rounds are checkpointed
     (reliably), and end when no label changes.
     """
-    spark = nodes.sparkSession
-    if not spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():
-        import tempfile
-
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="rillstone-"))
     edges = links.select(F.col("idx_a").alias("u"), F.col("idx_b").alias("v"))
-    edges = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v"))).distinct().checkpoint()
-    labels = edges.groupBy(F.col("u").alias("node")).agg(F.least(F.col("u"), F.min("v")).alias("label")).checkpoint()
+    edges = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v"))).distinct()
+    edges = settle(edges)
+    labels = settle(edges.groupBy(F.col("u").alias("node")).agg(F.least(F.col("u"), F.min("v")).alias("label")))
     while not labels.isEmpty():
         near = edges.join(labels.withColumnRenamed("node", "v"), "v").groupBy(F.col("u").alias("node")).agg(F.min("label").alias("__near"))
         lower = labels.join(near, "node").select("node", F.least("label", "__near").alias("__low"), "label")
         jump = lower.select(F.col("node").alias("__low"), F.col("__low").alias("__next"))
-        moved = lower.join(jump, "__low", "left").select("node", F.least("__low", F.coalesce("__next", "__low")).alias("label"), F.col("label").alias("__was")).checkpoint()
+        moved = settle(lower.join(jump, "__low", "left").select("node", F.least("__low", F.coalesce("__next", "__low")).alias("label"), F.col("label").alias("__was")))
         labels = moved.drop("__was")
         if moved.where("label <> __was").isEmpty():
             break
@@ -192,28 +201,25 @@ def merge_groups(records: DataFrame, group: str, score: str, fill: Sequence[str]
     what was merged. Values are made distinct, or aggregated by value, before
     a group's are gathered, so a large group gathers what differs alone.
     """
-    order = [F.desc(score), F.asc(idx)]
-    whole = W.partitionBy(group).orderBy(*order).rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
-    base = records.select(group, F.row_number().over(W.partitionBy(group).orderBy(*order)).alias("__rn"), *(F.first(null_if_blank(F.col(c)), ignorenulls=True).over(whole).alias(c) for c in fill))
-    out = base.where("__rn = 1").drop("__rn")
+    place = F.struct(F.col(score).isNull(), -F.col(score), F.col(idx))
     specific = urls.specific_key(F.col(url)) != ""
     picked = records.groupBy(group).agg(
-        F.count("*").alias("group_size"),
+        F.count("*").alias("group_size"), *(F.min_by(null_if_blank(F.col(c)), F.when(null_if_blank(F.col(c)).isNotNull(), place)).alias(c) for c in fill),
         F.min_by(title, F.struct(-F.length(title), F.col(idx))).alias("longest_title"),
         F.coalesce(F.min_by(url, F.when(specific, F.col(idx))), F.min_by(url, F.when(null_if_blank(F.col(url)).isNotNull(), F.col(idx)))).alias("best_url"),
     )
-    out = out.join(picked, group)
-    for c, value in [*((m, null_if_blank(F.col(m))) for m in modes), ("mw_mode", F.round(mw, 3))]:
-        counted = records.select(group, value.alias("__v"), F.col(idx)).where("__v is not null").groupBy(group, "__v").agg(F.count("*").alias("__n"), F.min(idx).alias("__i"))
-        out = out.join(counted.groupBy(group).agg(F.min_by("__v", F.struct(-F.col("__n"), F.col("__i"))).alias(c if c == "mw_mode" else f"{c}_mode")), group, "left")
-    for c, name in ((title, "merged_titles"), (url, "merged_urls"), (source, "merged_sources")):
-        values = records.select(group, null_if_blank(F.col(c)).alias("__v"), idx).where("__v is not null").groupBy(group, "__v").agg(F.min(idx).alias("__i"))
-        if name == "merged_sources":
-            gathered = F.transform(F.sort_array(F.collect_list(F.struct("__i", "__v"))), lambda x: x["__v"])
-        else:
-            gathered = F.slice(F.sort_array(F.collect_list("__v")), 1, 10)
-        out = out.join(values.groupBy(group).agg(gathered.alias(name)), group, "left")
-    return out
+    # one row for each field and value of a record; equal ones are counted before a group's are gathered
+    modal = {m: null_if_blank(F.col(m)) for m in modes} | {"mw": F.round(mw, 3).cast("string")}
+    listed = {"titles": title, "urls": url, "sources": source}
+    told = F.array(*(F.struct(F.lit(f"mode {n}").alias("f"), v.cast("string").alias("v")) for n, v in modal.items()), *(F.struct(F.lit(f"list {n}").alias("f"), null_if_blank(F.col(c)).cast("string").alias("v")) for n, c in listed.items()))
+    each = records.select(group, idx, F.inline(told)).where("v is not null")
+    counted = each.groupBy(group, "f", "v").agg(F.count("*").alias("n"), F.min(idx).alias("i"))
+    of = lambda name, x: F.when(F.col("f") == name, x)
+    kinds = dict(records.dtypes)
+    most = [F.min_by("v", of(f"mode {n}", F.struct(-F.col("n"), F.col("i")))).cast("double" if n == "mw" else kinds[n]).alias(f"{n}_mode") for n in modal]
+    names = [F.slice(F.sort_array(F.collect_list(of(f"list {n}", F.col("v")))), 1, 10).alias(f"merged_{n}") for n in ("titles", "urls")]
+    sources = F.transform(F.sort_array(F.collect_list(of("list sources", F.struct("i", "v")))), lambda x: x["v"]).alias("merged_sources")
+    return picked.join(counted.groupBy(group).agg(*most, *names, sources), group, "left")
 
 
 def stable_key(canon: DataFrame) -> Column:
@@ -245,11 +251,12 @@ def final_order() -> list[Column]:
 
 def dedupe(records: DataFrame, use_similarity: bool = True, max_block: int = MAX_BLOCK) -> tuple[DataFrame, DataFrame]:
     """row_idx and group_id of each record, and the scored pairs."""
-    canon = canonical(records)
+    canon = settle(canonical(records))
     scored = score_pairs(canon, candidate_pairs(canon, max_block), use_similarity)
+    scored = settle(scored)
     return connected(records, scored.where("merge")), scored
 
 
 def one_per_group(records: DataFrame, groups: DataFrame, score: str = "completeness") -> DataFrame:
     """Of each group the most complete record."""
-    return keep_first(records.join(groups, "row_idx"), "group_id", F.desc(score), F.asc("row_idx"))
+    return least_per_key(records.join(groups, "row_idx"), "group_id", F.col(score).isNull(), -F.col(score), F.col("row_idx"))

@@ -143,18 +143,14 @@ def surplus_rows(df: DataFrame, key: str) -> DataFrame:
 def entity_rollup(records: DataFrame, entity: str, item: str, mw: str, lists: dict[str, str], name: str | None = None, idx: str = "row_idx", width: int = 1000) -> DataFrame:
     """For each entity distinct items, sum, mean and maximum of mw, and sorted distinct values of columns, joined and cut to width.
 
-    Values are made distinct before they are gathered, so an entity with very
-    many records gathers its distinct values alone.
+    One aggregate: an entity with very many records gathers its distinct
+    values alone, and each task hands on those that it has seen.
     """
     shown = F.min_by(name, idx) if name else F.first(entity)
-    main = records.groupBy(entity).agg(
-        F.count_distinct(item).alias("items"), F.round(F.sum(mw), 2).alias("sum_mw"), F.round(F.avg(mw), 4).alias("avg_mw"), F.max(mw).alias("max_mw"), shown.alias("display_name")
+    texts = [F.left(F.array_join(F.sort_array(F.collect_set(column)), ", "), F.lit(width)).alias(out) for out, column in lists.items()]
+    return records.groupBy(entity).agg(
+        F.count_distinct(item).alias("items"), F.round(F.sum(mw), 2).alias("sum_mw"), F.round(F.avg(mw), 4).alias("avg_mw"), F.max(mw).alias("max_mw"), shown.alias("display_name"), *texts
     )
-    for out, column in lists.items():
-        values = records.select(entity, column).where(F.col(column).isNotNull()).distinct()
-        joined = values.groupBy(entity).agg(F.left(F.array_join(F.sort_array(F.collect_list(column)), ", "), F.lit(width)).alias(out))
-        main = main.join(joined, entity, "left")
-    return main
 
 
 def top_sums(records: DataFrame, label: str, mw: str, n: int = 10) -> DataFrame:

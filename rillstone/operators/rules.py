@@ -10,14 +10,11 @@ from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from rillstone.functions.numbers import power_matches
 from rillstone.functions.text import is_blank, match_text
 
-#: Rules of a table that are matched by containment, at most; their number bounds the work per row.
-MAX_CONTAINMENT_RULES = 10_000
-
 
 def contains_any(text: Column, words: Sequence[str]) -> Column:
     """One regular expression for all words."""
@@ -122,13 +119,14 @@ def looks_like_company(c: Column) -> Column:
 
 
 def ladder_join(left: DataFrame, right: DataFrame, id_col: str, steps: Sequence[Sequence[tuple[str, str]]], value: str) -> DataFrame:
-    """The value of the first step whose equality gives one right row, of several the smallest value.
+    """The value of the first step whose equality gives one right value; a step that gives several gives none.
 
     A step is pairs of a left and a right column. Each is an equi join, pre-aggregated on the right.
     """
     out = left.select(id_col, *{a for step in steps for a, _ in step})
     for i, step in enumerate(steps):
-        best = right.groupBy(*(F.col(b).alias(f"__k{j}") for j, (_, b) in enumerate(step))).agg(F.min(value).alias(f"__v{i}"))
+        only = F.when(F.min(value) == F.max(value), F.min(value)).alias(f"__v{i}")
+        best = right.groupBy(*(F.col(b).alias(f"__k{j}") for j, (_, b) in enumerate(step))).agg(only)
         on = reduce(lambda x, y: x & y, [F.col(a) == F.col(f"__k{j}") for j, (a, _) in enumerate(step)])
         out = out.join(best, on, "left").drop(*(f"__k{j}" for j in range(len(step))))
     found = F.coalesce(*(F.col(f"__v{i}") for i in range(len(steps))))
@@ -136,35 +134,59 @@ def ladder_join(left: DataFrame, right: DataFrame, id_col: str, steps: Sequence[
     return out.select(id_col, found.alias(value), rank.alias("step"))
 
 
-def matching_rules(df: DataFrame, rules: DataFrame, id_col: str, text: str, url_key: str) -> DataFrame:
+_RUNS = "[\\p{L}\\p{N}]+"
+
+
+def _longest_run(c: Column) -> Column:
+    """The longest run of letters and digits of a text; empty without."""
+    runs = F.regexp_extract_all(c, F.lit(_RUNS), F.lit(0))
+    return F.coalesce(F.array_max(F.transform(runs, lambda r: F.struct(F.length(r).alias("n"), r.alias("r"))))["r"], F.lit(""))
+
+
+def matching_rules(df: DataFrame, rules: DataFrame, id_col: str, text: str, url_key: str, conditions: Sequence[str] = (), power: str | None = None) -> DataFrame:
     """id_col and the columns of each rule that a row matches.
 
     rules has seq, match_kind (url_eq, url_contains or title_contains_all) and
-    match_value (an array). Equality is an equi join. Containment has no key;
-    its rules are broadcast, and their number is checked, as it bounds the work.
+    match_value (an array). Equality is an equi join. For containment, what a
+    rule looks for holds a run of letters and digits, and so must a run of the
+    row: the distinct runs of all rows, far fewer than rows, are asked which
+    rules' runs they hold, rows meet those rules by an equi join on their
+    runs, and the whole condition is then confirmed.
+
+    Rules may also have where (a map of a column among conditions to its
+    normalised value) and power_mw, which the row's power must match.
     """
-    fixed = rules.where("match_kind = 'url_eq'").withColumn("__value", F.explode("match_value"))
-    by_key = df.select(id_col, F.col(url_key).alias("__value")).join(fixed, "__value").drop("__value")
-    loose = rules.where("match_kind <> 'url_eq'")
-    n = loose.count()
-    if n > MAX_CONTAINMENT_RULES:
-        raise ValueError(f"{n} rules match by containment, more than {MAX_CONTAINMENT_RULES}")
-    if not n:
-        return by_key
-    rows = df.select(id_col, F.col(text).alias("__text"), F.lower(F.col(url_key)).alias("__url"))
-    within = F.when(F.col("match_kind") == "url_contains", F.exists("match_value", lambda v: F.contains(F.col("__url"), F.lower(v))))
-    within = within.otherwise(F.forall("match_value", lambda v: F.contains(F.col("__text"), v)))
-    return by_key.unionByName(rows.join(F.broadcast(loose), within).drop("__text", "__url"))
-
-
-def apply_overrides(df: DataFrame, rules: DataFrame, id_col: str, text: str, url_key: str, fields: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    own = rules.columns
+    fixed = rules.where("match_kind = 'url_eq'").withColumn("__value", F.explode(F.array_distinct("match_value")))
+    extra = {"__url": F.lower(F.col(url_key)), "__text": F.col(text), "__facts": F.create_map(*(x for c in conditions for x in (F.lit(c), match_text(F.col(c).cast("string"))))) if conditions else F.lit(None).cast("map<string,string>"), "__power": F.col(power) if power else F.lit(None).cast("double")}
+    rows = df.select(id_col, F.col(url_key).alias("__key"), *(v.alias(k) for k, v in extra.items()))
+    hits = rows.join(fixed.withColumnRenamed("__value", "__key"), "__key").select(id_col, *extra, *own)
+    by_url = F.col("match_kind") == "url_contains"
+    loose = rules.where("match_kind <> 'url_eq'").withColumn("__value", F.explode(F.when(by_url, F.transform("match_value", F.lower)).otherwise(F.array(F.array_join("match_value", " ")))))
+    loose = loose.withColumn("__run", _longest_run(F.col("__value"))).withColumn("__of_url", by_url)
+    runs = lambda c, of_url: rows.select(id_col, F.explode(F.array_distinct(F.regexp_extract_all(F.col(c), F.lit(_RUNS), F.lit(0)))).alias("__token"), F.lit(of_url).alias("__of_url"))
+    tokens = runs("__url", True).unionByName(runs("__text", False))
+    asked = loose.where("__run <> ''").select("seq", "__run", "__of_url").distinct()
+    held = tokens.select("__token", "__of_url").distinct().alias("t").join(asked.alias("r"), (F.col("t.__of_url") == F.col("r.__of_url")) & F.contains("t.__token", F.col("r.__run"))).select("t.__token", "t.__of_url", "seq").distinct()
+    possible = tokens.join(held, ["__token", "__of_url"]).select(id_col, "seq").distinct()
+    met = possible.join(rules.where("match_kind <> 'url_eq'"), "seq").join(rows, id_col)
+    within = F.when(by_url, F.exists("match_value", lambda v: F.contains(F.col("__url"), F.lower(v)))).otherwise(F.forall("match_value", lambda v: F.contains(F.col("__text"), v)))
+    out = hits.unionByName(met.where(within).select(id_col, *extra, *own))
+    if "where" in own:
+        out = out.where(F.col("where").isNull() | F.forall(F.map_keys("where"), lambda k: F.try_element_at("__facts", k).eqNullSafe(F.try_element_at("where", k))))
+    if "power_mw" in own:
+        out = out.where(F.coalesce(power_matches(F.col("__power"), F.col("power_mw")), F.lit(False)))
+    return out.drop(*extra)
+
+
+def apply_overrides(df: DataFrame, rules: DataFrame, id_col: str, text: str, url_key: str, fields: Sequence[str], conditions: Sequence[str] = (), power: str | None = None) -> tuple[DataFrame, DataFrame]:
     """The rows with the first matching rule's fields set or the row excluded; and an audit row for each change.
 
     fields (a map) holds the new values; action is patch or exclude. The
     first rule by seq wins.
     """
-    hits = matching_rules(df, rules, id_col, text, url_key)
-    first = hits.withColumn("__rn", F.row_number().over(W.partitionBy(id_col).orderBy("seq"))).where("__rn = 1").select(id_col, "action", F.col("fields").alias("__new"), F.col("reason").alias("__reason"), "seq")
+    hits = matching_rules(df, rules, id_col, text, url_key, conditions, power)
+    first = hits.groupBy(id_col).agg(F.min_by(F.struct("action", F.col("fields").alias("__new"), F.col("reason").alias("__reason"), "seq"), "seq").alias("__first")).select(id_col, "__first.*")
     joined = df.join(first, id_col, "left")
     new = lambda c: F.try_element_at(F.col("__new"), F.lit(c))
     differs = lambda c: new(c).isNotNull() & ~match_text(F.col(c).cast("string")).eqNullSafe(match_text(new(c)))

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from rillstone.functions import geo
 from rillstone.functions.text import containment, jaccard, key_words, match_text, similarity, similarity_bound, tokens
 from rillstone.operators import dedupe, ordered, quality
+from rillstone.operators.lineage import settle
 from rillstone.plans.common import Registry, sql_values, table, values
 from rillstone.shipping import ship
 
@@ -69,14 +70,14 @@ m AS (SELECT idx_a, idx_b, CAST(score AS INTEGER) AS score, NOT against AND (sco
 @R.query(f"WITH {_PART_SQL} SELECT * FROM m")
 def q28_pair_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Conflicts and evidence of pairs; titles count as similar where they are equal."""
-    canon = dedupe.canonical(_part_records(spark, sf_dir))
+    canon = settle(dedupe.canonical(_part_records(spark, sf_dir)))
     return dedupe.score_pairs(canon, dedupe.candidate_pairs(canon), use_similarity=False).select("idx_a", "idx_b", "score", "merge")
 
 
 @R.query(f"WITH {_PART_SQL} SELECT CASE WHEN against THEN 'conflict' ELSE 'evidence' END AS side, count(*) AS pairs FROM f GROUP BY 1")
 def q28b_pair_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rejected for a conflict, or judged by evidence."""
-    canon = dedupe.canonical(_part_records(spark, sf_dir))
+    canon = settle(dedupe.canonical(_part_records(spark, sf_dir)))
     scored = dedupe.score_pairs(canon, dedupe.candidate_pairs(canon), use_similarity=False)
     return scored.groupBy(F.when(F.contains("reason", F.lit("conflict")), "conflict").otherwise("evidence").alias("side")).agg(F.count("*").alias("pairs"))
 

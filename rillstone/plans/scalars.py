@@ -1,71 +1,119 @@
-"""Queries of scalar functions (N, X, D, C, P): over the driver's tables, or over golden cases whose expected values are the SQL."""
+"""Queries of scalar functions (N, X, D, C, P) over the driver's tables: texts are made of the rows, and the SQL computes what the functions read in them."""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rillstone.functions import dates, numbers, text, urls
 from rillstone.operators.rules import bad_company_reason, is_aggregate
-from rillstone.plans.common import Registry, sql_values, table, values
+from rillstone.plans.common import Registry, table
 
 R = Registry()
 
 
-def _golden(name: str, doc: str, function, cases: list[tuple], kind: str = "string"):
-    """Register a query that applies a function to cases, the first column of which is the input and the last what is expected."""
+def _over(name: str, doc: str, of: str, key: str, raw: Callable[[], Column], function, sql_raw: str, sql_value: str) -> None:
+    """Register a query that applies a function to a text made of each row of a table; the SQL makes the same text and computes the value its own way."""
 
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        rows = values(spark, "raw string", [(c[0],) for c in cases])
-        return rows.select("raw", function(F.col("raw")).alias("value"))
+        rows = table(spark, sf_dir, of).select(key, raw().alias("raw"))
+        return rows.select(key, "raw", function(F.col("raw")).alias("value"))
 
     query.__name__, query.__doc__ = name, doc
-    cast = {"double": "DOUBLE", "int": "INTEGER", "boolean": "BOOLEAN", "date": "DATE"}.get(kind, "VARCHAR")
-    R.query(f"SELECT raw, CAST(value AS {cast}) AS value FROM {sql_values('raw, value', [(c[0], c[-1]) for c in cases])}")(query)
-
-
-_golden("q24_power", "N3.", numbers.parse_power, [
-    ("48.491,52 kWp", 48.49152), ("19.056,42 kW", 19.05642), ("12’701,52 kWp", 12.70152), ("24'995,52 kWp", 24.99552), ("8951.00 kWp", 8.951), ("99 MWp", 99.0),
-    ("47,01 MWp", 47.01), ("19.305 MWp", 19.305), ("118.07 MW", 118.07), ("MW 36,59", 36.59), ("29.0752 kWp", 29.0752), ("48.491 kWp", 48.491), ("nessuna", None), (None, None),
-], "double")
-_golden("q24b_power_in_text", "N2.", numbers.power_in_text, [
-    ("Impianto della potenza di 36,59 MW", 36.59), ("potenza nominale pari a 19.992,00 kWp", 19.992), ("da 5.000 kW e 7 MW", 7.0), ("MW: 12,5", 12.5), ("kWp 48.491,52", 48.49152), ("2.000 MW", 2.0), ("2000 MW", None), ("", None),
-], "double")
-_golden("q24c_italian_number", "N1.", numbers.italian_number, [("37.688,4", 37688.4), ("1,234.5", 1234.5), ("12,5", 12.5), ("12.5", 12.5), ("1.234.567", None), ("x", None)], "double")
-_golden("q24d_number_in_text", "N4.", numbers.number_in, [("19.994,88", 19994.88), ("6'093.36", 6093.36), ("circa 1.234.567 m", 1234.567), ("-3,5", -3.5), ("", None)], "double")
-_golden("q24e_title_power", "N5.", lambda c: numbers.title_power(F.substring_index(c, " ", 1), F.substring_index(c, " ", -1)), [
-    ("130.000 kWp", 130.0), ("6.000 kWp", 6.0), ("4.495 kWp", 4.495), ("980.20 kWp", 0.9802), ("6'093.36 kWp", 6.09336), ("19,97 MW", 19.97), ("5000 kW", 5.0),
-], "double")
-_golden("q24f_title_powers", "N6.", lambda c: F.array_join(F.transform(numbers.title_powers(c), lambda x: F.round(x, 4).cast("string")), ";"), [("10,9326 MWp e 9,635 MW", "10.9326;9.635"), ("5 MW, 5.000 kWp e 5 MW", "5.0"), ("nulla", "")])
-_golden("q24g_dashboard_number", "N7.", numbers.dashboard_number, [("1.234,5 MW", 1234.5), ("12,5", 12.5), ("12.5 mw", 12.5), ("n/d", None)], "double")
-_golden("q24h_diff_number", "N8.", numbers.diff_number, [("1.234,5", 1234.5), ("1,234.5", 1234.5), ("EUR 12,5", 12.5), ("", None)], "double")
-_golden("q24i_export_power", "N9.", numbers.export_power, [("5.000,5 kWp", 5.0005), ("12,5 MW", 12.5), ("", 0.0)], "double")
-_golden("q24j_italian_format", "N10.", lambda c: numbers.italian_format(c.cast("double")), [("1234.567", "1.234,567"), ("0.5", "0,500"), ("1000000", "1.000.000,000")])
-_golden("q42_status", "X23, T3: the literal order of rules.", text.status, [
-    ("Procedura in corso", "in_corso"), ("CONCLUSA", "concluso"), ("archiviato", "archiviato"), ("parere sfavorevole", "positivo"), ("esito negativo", "negativo"), ("sospesa", "sospeso"), ("altro", "altro"), (" ", None),
-])
-_golden("q42b_status_corrected", "X23, T3: the corrected order.", lambda c: text.status(c, True), [("parere sfavorevole", "negativo"), ("non compatibile", "negativo"), ("favorevole", "positivo")])
-_golden("q42c_project_type", "X21.", text.project_type, [("Impianto Agrivoltaico", "agrivoltaico"), ("parco fotovoltaico", "fotovoltaico"), ("BESS", "accumulo"), ("eolico", None)])
-_golden("q42d_company", "F12.", bad_company_reason, [("12/03/2025", "date_only"), ("3 marzo 2024", "date_only"), ("123-45", "numeric_only"), ("Proponente", "administrative_label"), ("Dettaglio procedura", "administrative_fragment"), ("Dettaglio Solar srl", None), ("Sole S.r.l.", None)])
-_golden("q42e_match_text", "X3.", text.match_text, [("Società Sole &amp; Vento S.r.l.", "societa sole e vento srl"), ("ENEL S.p.A.", "enel spa"), ("  Città–Nuova ", "citta nuova"), (None, "")])
-_golden("q42f_slug", "X8.", text.slug, [("Parco  Solare (FG)", "parco-solare-fg"), ("A_b-C", "a_b-c")])
-_golden("q42g_place_case", "X9.", text.place_case, [("SAN GIOVANNI IN FIORE", "San Giovanni in Fiore"), ("l'aquila", "L'Aquila"), ("REGGIO DI CALABRIA", "Reggio di Calabria")])
-_golden("q42h_mojibake", "X6.", text.repair_mojibake, [("cittÃ\xa0 nuova", "città nuova"), ("perchÃ©", "perché"), ("ok", "ok")])
-_golden("q42i_between", "X25.", lambda c: text.between(c, "Proponente", "Data"), [("Proponente: Sole srl Data pubblicazione", "Sole srl"), ("nulla", None)])
-_golden("q42j_clean_text", "X5.", text.clean_text, [("  a \xa0 b ", "a b"), ("None", None), ("nan", None), ("x\x07y", "xy"), ("", None)])
-_golden("q42k_list", "C1.", lambda c: text.join_list(text.split_list(c)), [("Troia; Lucera, troia | Foggia", "Troia, Lucera, Foggia"), (" ; ", None), ("Bari", "Bari")])
-_golden("q42l_ellipsis", "P11.", lambda c: text.ellipsis(c, 5), [("abcdef", "abcd…"), ("abc", "abc")])
-_golden("q43_dates", "D1.", dates.parse_date, [("03/02/2025", "2025-02-03"), ("03-02-2025", "2025-02-03"), ("2025-02-03", "2025-02-03"), ("31/02/2025", None), ("", None)], "date")
-_golden("q43b_italian_dates", "D3.", dates.italian_date, [("12 marzo 2025", "2025-03-12"), ("il 1 Agosto 2024 alle 10", "2024-08-01"), ("2023", "2023-01-01"), ("boh", None)], "date")
-_golden("q43c_year", "D2.", dates.year_in, [("anno 2024", 2024), ("12/03/25", 2025), ("1/2/99", 1999), ("no", None)], "int")
-_golden("q43d_latest_date", "D4.", lambda c: dates.latest_date_in(c, F.lit("2025-06-30").cast("date")), [("dal 01/02/2024 al 3/4/2025", "2025-04-03"), ("01/01/2026", None), ("", None)], "date")
-_golden("q43e_monthly_key", "D7.", lambda c: F.concat_ws(";", *(x.cast("string") for x in dates.monthly_key(c))), [("terna_2024_03_puglia", "terna_puglia;2024;3"), ("terna_puglia", "terna_puglia")])
-_golden("q25b_specific_urls", "X10.", urls.specific_key, [
-    ("https://www.x.it/a//b/?id=12&utm=1", "x.it/a/b?id=12"), ("http://x.it/p/progetto-123456", "x.it/p/progetto-123456"), ("http://x.it/ricerca/elenco2024", ""), ("http://x.it/", ""), ("http://x.it/a?Codice=A%20B&id=", "x.it/a?codice=a b"), ("", ""),
-])
-_golden("q25c_safe_urls", "F24.", urls.safe_url, [("https://x.it/a", "https://x.it/a"), ("javascript:alert(1)", ""), ("http://", ""), ("ftp://x", "")])
-_golden("q25d_rewritten_urls", "X20.", lambda c: urls.rewrite(c, urls.NOTICE_RULES), [("https://x.it/avvisiPubblici?id=32", "https://x.it/avvisiPubblici/32"), ("https://x.it/a", "https://x.it/a")])
-_golden("q44_is_aggregate", "F11, T10.", lambda c: is_aggregate(F.substring_index(c, ";", 1), F.substring_index(c, ";", -1), F.lit("")), [("terna;x", True), ("Terna Econnextion;x", True), ("lazio;rete esterna", False), ("x;Terna Econnextion Puglia", True)], "boolean")
+    R.query(f"SELECT {key}, raw, {sql_value} AS value FROM (SELECT *, {sql_raw} AS raw FROM {of})")(query)
+
+
+def _c(*parts: str | Column) -> Column:
+    return F.concat(*(F.lit(p) if isinstance(p, str) else p.cast("string") for p in parts))
+
+
+def _pick(by: Column, *texts: str) -> Column:
+    """One of several texts, by a number."""
+    return F.element_at(F.array(*map(F.lit, texts)), (by % len(texts) + 1).cast("int"))
+
+
+def _sql_pick(by: str, *texts: str) -> str:
+    quoted = ", ".join("'" + t.replace("'", "''") + "'" for t in texts)
+    return f"([{quoted}])[CAST({by} % {len(texts)} AS INTEGER) + 1]"
+
+
+def _it(c: Column, n: int) -> Column:
+    return numbers.italian_format(c, n)
+
+
+def _sql_it(x: str, n: int) -> str:
+    return f"translate(format('{{:,.{n}f}}', {x}), ',.', '.,')"
+
+
+
+_over("q24_power", "N3: prices written as kilowatts in the Italian way, and as megawatts.", "orders", "o_orderkey", lambda: F.when(F.col("o_orderkey") % 2 == 0, _c(_it(F.col("o_totalprice"), 2), " kWp")).otherwise(_c("MW ", F.replace(F.format_string("%.2f", F.round(F.col("o_totalprice") / 1000, 2)), F.lit("."), F.lit(",")))),
+  numbers.parse_power, f"CASE WHEN o_orderkey % 2 = 0 THEN {_sql_it('o_totalprice', 2)} || ' kWp' ELSE 'MW ' || replace(format('{{:.2f}}', round(o_totalprice / 1000, 2)), '.', ',') END",
+  "CASE WHEN o_orderkey % 2 = 0 THEN round(round(o_totalprice, 2) / 1000, 6) ELSE round(o_totalprice / 1000, 2) END")
+_over("q24b_power_in_text", "N2.", "part", "p_partkey", lambda: F.when(F.col("p_partkey") % 3 == 0, _c("Impianto della potenza di ", F.col("p_size"), ",5 MW")).when(F.col("p_partkey") % 3 == 1, _c("da ", F.col("p_size"), "00 kW e altro")).otherwise(_c("MW: ", F.col("p_size") + 2000)),
+  numbers.power_in_text, "CASE p_partkey % 3 WHEN 0 THEN 'Impianto della potenza di ' || p_size || ',5 MW' WHEN 1 THEN 'da ' || p_size || '00 kW e altro' ELSE 'MW: ' || (p_size + 2000) END",
+  "CASE p_partkey % 3 WHEN 0 THEN p_size + 0.5::DOUBLE WHEN 1 THEN p_size / 10 END")
+_over("q24c_italian_number", "N1.", "orders", "o_orderkey", lambda: F.when(F.col("o_orderkey") % 2 == 0, _it(F.col("o_totalprice"), 2)).otherwise(_c(F.col("o_orderkey"), ".5")), numbers.italian_number,
+  f"CASE WHEN o_orderkey % 2 = 0 THEN {_sql_it('o_totalprice', 2)} ELSE o_orderkey || '.5' END", "CASE WHEN o_orderkey % 2 = 0 THEN round(o_totalprice, 2) ELSE o_orderkey + 0.5::DOUBLE END")
+_over("q24d_number_in_text", "N4.", "orders", "o_orderkey", lambda: _c("circa ", F.replace(_it(F.col("o_totalprice"), 2), F.lit("."), F.lit("'")), " m"), numbers.number_in, f"'circa ' || replace({_sql_it('o_totalprice', 2)}, '.', chr(39)) || ' m'", "round(o_totalprice, 2)")
+_over("q24e_title_power", "N5: kilowatts with a comma, with one dot and two or three decimals, and megawatts.", "part", "p_partkey", lambda: F.when(F.col("p_partkey") % 4 == 0, _c(F.col("p_size"), ".000,50 kWp")).when(F.col("p_partkey") % 4 == 1, _c(F.col("p_size") + 100, ".25 kWp")).when(F.col("p_partkey") % 4 == 2, _c(F.col("p_size"), ".125 kWp")).otherwise(_c(F.col("p_size"), ",5 MW")),
+  lambda c: numbers.title_power(F.substring_index(c, " ", 1), F.substring_index(c, " ", -1)), "CASE p_partkey % 4 WHEN 0 THEN p_size || '.000,50 kWp' WHEN 1 THEN (p_size + 100) || '.25 kWp' WHEN 2 THEN p_size || '.125 kWp' ELSE p_size || ',5 MW' END",
+  "CASE p_partkey % 4 WHEN 0 THEN (p_size * 1000 + 0.5::DOUBLE) / 1000 WHEN 1 THEN (p_size + 100.25::DOUBLE) / 1000 WHEN 2 THEN p_size + 0.125::DOUBLE ELSE p_size + 0.5::DOUBLE END")
+_over("q24f_title_powers", "N6: all powers of a title, each once.", "part", "p_partkey", lambda: _c("Parco da ", F.col("p_size"), ",5 MWp e ", F.col("p_size") + 1, " MW, ossia ", F.col("p_size") + 1, ".000 kWp"),
+  lambda c: F.array_join(F.transform(numbers.title_powers(c), lambda x: F.round(x, 4).cast("string")), ";"), "'Parco da ' || p_size || ',5 MWp e ' || (p_size + 1) || ' MW, ossia ' || (p_size + 1) || '.000 kWp'", "p_size || '.5;' || (p_size + 1) || '.0'")
+_over("q24g_dashboard_number", "N7.", "orders", "o_orderkey", lambda: F.when(F.col("o_orderkey") % 3 == 2, _c("n/d ", F.col("o_orderstatus"))).otherwise(_c(_it(F.col("o_totalprice"), 2), " MW")), numbers.dashboard_number,
+  f"CASE WHEN o_orderkey % 3 = 2 THEN 'n/d ' || o_orderstatus ELSE {_sql_it('o_totalprice', 2)} || ' MW' END", "CASE WHEN o_orderkey % 3 <> 2 THEN round(o_totalprice, 2) END")
+_over("q24h_diff_number", "N8: the last separator is decimal, in either way of writing.", "orders", "o_orderkey", lambda: _c("EUR ", F.when(F.col("o_orderkey") % 2 == 0, _it(F.col("o_totalprice"), 2)).otherwise(F.format_number(F.col("o_totalprice"), 2))), numbers.diff_number,
+  f"'EUR ' || CASE WHEN o_orderkey % 2 = 0 THEN {_sql_it('o_totalprice', 2)} ELSE format('{{:,.2f}}', o_totalprice) END", "round(o_totalprice, 2)")
+_over("q24i_export_power", "N9.", "part", "p_partkey", lambda: F.when(F.col("p_partkey") % 3 == 0, _c(F.col("p_size"), ".500,5 kWp")).when(F.col("p_partkey") % 3 == 1, _c(F.col("p_size"), ",5 MW")).otherwise(F.lit("")), numbers.export_power,
+  "CASE p_partkey % 3 WHEN 0 THEN p_size || '.500,5 kWp' WHEN 1 THEN p_size || ',5 MW' ELSE '' END", "CASE p_partkey % 3 WHEN 0 THEN (p_size * 1000 + 500.5::DOUBLE) / 1000 WHEN 1 THEN p_size + 0.5::DOUBLE ELSE 0 END")
+_over("q24j_italian_format", "N10.", "orders", "o_orderkey", lambda: F.format_string("%.2f", F.round("o_totalprice", 2)), lambda c: numbers.italian_format(c.cast("double")), "format('{:.2f}', round(o_totalprice, 2))", _sql_it("round(o_totalprice, 2)", 3))
+_STATES = ("Procedura in corso", "CONCLUSA", "archiviato", "parere sfavorevole", "esito negativo", "sospesa", "altro", "non compatibile")
+_over("q42_status", "X23, T3: the literal order of rules.", "orders", "o_orderkey", lambda: _c(_pick(F.col("o_orderkey"), *_STATES), " ", F.col("o_orderpriority")), text.status, f"{_sql_pick('o_orderkey', *_STATES)} || ' ' || o_orderpriority",
+  "CASE WHEN raw ILIKE '%in corso%' THEN 'in_corso' WHEN raw ILIKE '%conclusa%' THEN 'concluso' WHEN raw ILIKE '%archiviato%' THEN 'archiviato' WHEN raw ILIKE '%favorevole%' OR raw ILIKE '%compatibile%' THEN 'positivo' WHEN raw ILIKE '%negativo%' THEN 'negativo' WHEN raw ILIKE '%sospesa%' THEN 'sospeso' ELSE raw END")
+_over("q42b_status_corrected", "X23, T3: the corrected order.", "orders", "o_orderkey", lambda: _c(_pick(F.col("o_orderkey"), *_STATES), " ", F.col("o_orderpriority")), lambda c: text.status(c, True), f"{_sql_pick('o_orderkey', *_STATES)} || ' ' || o_orderpriority",
+  "CASE WHEN raw ILIKE '%in corso%' THEN 'in_corso' WHEN raw ILIKE '%conclusa%' THEN 'concluso' WHEN raw ILIKE '%archiviato%' THEN 'archiviato' WHEN raw ILIKE '%negativo%' OR raw ILIKE '%sfavorevole%' OR raw ILIKE '%non compatibile%' THEN 'negativo' WHEN raw ILIKE '%sospesa%' THEN 'sospeso' ELSE raw END")
+_KINDS = ("Impianto Agrivoltaico", "parco fotovoltaico", "BESS", "eolico", "agro-voltaico e solare")
+_over("q42c_project_type", "X21.", "part", "p_partkey", lambda: _c(_pick(F.col("p_partkey"), *_KINDS), " ", F.col("p_name")), text.project_type, f"{_sql_pick('p_partkey', *_KINDS)} || ' ' || p_name",
+  "CASE WHEN regexp_matches(lower(raw), 'agrivolt|agrovolt|agri-volt|agro-volt') THEN 'agrivoltaico' WHEN regexp_matches(lower(raw), 'fotovolt|solare|pv') THEN 'fotovoltaico' WHEN regexp_matches(lower(raw), 'accumulo|storage|bess') THEN 'accumulo' END")
+_OWNERS = ("12/03/2025", "Proponente", "Dettaglio procedura", "Sole S.r.l.", "Dettaglio Solar srl")
+_over("q42d_company", "F12: names, numbers and labels.", "customer", "c_custkey", lambda: F.when(F.col("c_custkey") % 6 == 5, F.col("c_custkey").cast("string")).when(F.col("c_custkey") % 6 == 4, F.col("c_name")).otherwise(_pick(F.col("c_custkey"), *_OWNERS)), bad_company_reason,
+  f"CASE c_custkey % 6 WHEN 5 THEN CAST(c_custkey AS VARCHAR) WHEN 4 THEN c_name ELSE {_sql_pick('c_custkey', *_OWNERS)} END",
+  "CASE WHEN regexp_matches(raw, '^[0-9]{2}/[0-9]{2}/[0-9]{4}$') THEN 'date_only' WHEN regexp_matches(raw, '^[0-9]+$') THEN 'numeric_only' WHEN raw = 'Proponente' THEN 'administrative_label' WHEN raw ILIKE '%dettaglio%' AND NOT raw ILIKE '%solar%' THEN 'administrative_fragment' END")
+_over("q42e_match_text", "X3: entities, ampersands, legal forms and accents.", "customer", "c_custkey", lambda: _c("Società &quot;", F.col("c_name"), "&quot; &amp; ", F.initcap("c_mktsegment"), _pick(F.col("c_custkey"), " S.r.l.", " s.p.a.", " SRLS", "")), text.match_text,
+  f"'Società &quot;' || c_name || '&quot; &amp; ' || upper(substr(c_mktsegment, 1, 1)) || lower(substr(c_mktsegment, 2)) || {_sql_pick('c_custkey', ' S.r.l.', ' s.p.a.', ' SRLS', '')}",
+  f"'societa ' || trim(regexp_replace(lower(c_name), '[^a-z0-9]+', ' ', 'g')) || ' e ' || lower(c_mktsegment) || {_sql_pick('c_custkey', ' srl', ' spa', ' srls', '')}")
+_over("q42f_slug", "X8.", "part", "p_partkey", lambda: _c(F.initcap("p_name"), "  (", F.col("p_brand"), ")"), text.slug, "upper(substr(split_part(p_name, ' ', 1), 1, 1)) || substr(split_part(p_name, ' ', 1), 2) || ' ' || upper(substr(split_part(p_name, ' ', 2), 1, 1)) || substr(split_part(p_name, ' ', 2), 2) || '  (' || p_brand || ')'",
+  "replace(p_name, ' ', '-') || '-' || replace(lower(p_brand), '#', '')")
+_over("q42g_place_case", "X9.", "part", "p_partkey", lambda: _c(F.upper("p_name"), " DI ", F.upper("p_type"), " IN L'AQUILA"), text.place_case, "upper(p_name) || ' DI ' || upper(p_type) || ' IN L''AQUILA'",
+  "array_to_string(list_transform(string_split(lower(p_name), ' '), lambda w: upper(w[1]) || w[2:]), ' ') || ' di ' || array_to_string(list_transform(string_split(lower(p_type), ' '), lambda w: upper(w[1]) || w[2:]), ' ') || ' in L''Aquila'")
+_over("q42h_mojibake", "X6.", "customer", "c_custkey", lambda: _c("cittÃ\xa0 ", F.col("c_name"), " perchÃ©"), text.repair_mojibake, "'cittÃ' || chr(160) || ' ' || c_name || ' perchÃ©'", "'città ' || c_name || ' perché'")
+_over("q42i_between", "X25.", "customer", "c_custkey", lambda: F.when(F.col("c_custkey") % 3 == 0, F.col("c_name")).otherwise(_c("Proponente: ", F.col("c_name"), "  Data pubblicazione")), lambda c: text.between(c, "Proponente", "Data"),
+  "CASE WHEN c_custkey % 3 = 0 THEN c_name ELSE 'Proponente: ' || c_name || '  Data pubblicazione' END", "CASE WHEN c_custkey % 3 <> 0 THEN c_name END")
+_over("q42j_clean_text", "X5.", "customer", "c_custkey", lambda: F.when(F.col("c_custkey") % 4 == 0, F.lit("None")).when(F.col("c_custkey") % 4 == 1, F.lit("nan")).otherwise(_c("  ", F.col("c_name"), " \xa0 ", F.col("c_mktsegment"), "\x07 ")), text.clean_text,
+  "CASE c_custkey % 4 WHEN 0 THEN 'None' WHEN 1 THEN 'nan' ELSE '  ' || c_name || ' ' || chr(160) || ' ' || c_mktsegment || chr(7) || ' ' END", "CASE WHEN c_custkey % 4 >= 2 THEN c_name || ' ' || c_mktsegment END")
+_over("q42k_list", "C1.", "part", "p_partkey", lambda: _c(F.col("p_name"), "; ", F.col("p_type"), ", ", F.upper("p_name"), " | ", F.col("p_brand"), " ;"), lambda c: text.join_list(text.split_list(c)),
+  "p_name || '; ' || p_type || ', ' || upper(p_name) || ' | ' || p_brand || ' ;'", "p_name || ', ' || p_type || ', ' || p_brand")
+_over("q42l_ellipsis", "P11.", "part", "p_partkey", lambda: F.col("p_name"), lambda c: text.ellipsis(c, 9), "p_name", "CASE WHEN length(p_name) > 9 THEN substr(p_name, 1, 8) || '…' ELSE p_name END")
+_over("q43_dates", "D1: three ways of writing, and no date.", "orders", "o_orderkey", lambda: F.when(F.col("o_orderkey") % 4 == 3, F.col("o_orderpriority")).when(F.col("o_orderkey") % 4 == 0, F.date_format("o_orderdate", "dd/MM/yyyy")).when(F.col("o_orderkey") % 4 == 1, F.date_format("o_orderdate", "dd-MM-yyyy")).otherwise(F.date_format("o_orderdate", "yyyy-MM-dd")),
+  dates.parse_date, "CASE o_orderkey % 4 WHEN 3 THEN o_orderpriority WHEN 0 THEN strftime(o_orderdate, '%d/%m/%Y') WHEN 1 THEN strftime(o_orderdate, '%d-%m-%Y') ELSE strftime(o_orderdate, '%Y-%m-%d') END", "CASE WHEN o_orderkey % 4 <> 3 THEN CAST(o_orderdate AS DATE) END")
+_over("q43b_italian_dates", "D3: dates in words, and years.", "orders", "o_orderkey", lambda: F.when(F.col("o_orderkey") % 5 == 0, F.year("o_orderdate").cast("string")).otherwise(_c("il ", F.dayofmonth("o_orderdate"), " ", F.element_at(F.array(*map(F.lit, dates.MONTHS)), F.month("o_orderdate")), " ", F.year("o_orderdate"))),
+  dates.italian_date, f"CASE WHEN o_orderkey % 5 = 0 THEN CAST(year(o_orderdate) AS VARCHAR) ELSE 'il ' || day(o_orderdate) || ' ' || {list(dates.MONTHS)}[month(o_orderdate)] || ' ' || year(o_orderdate) END", "CASE WHEN o_orderkey % 5 = 0 THEN make_date(year(o_orderdate), 1, 1) ELSE CAST(o_orderdate AS DATE) END")
+_over("q43c_year", "D2: years of four digits and of two.", "orders", "o_orderkey", lambda: F.when(F.col("o_orderkey") % 2 == 0, _c("anno ", F.year("o_orderdate"))).otherwise(F.date_format("o_orderdate", "d/M/yy")), dates.year_in,
+  "CASE WHEN o_orderkey % 2 = 0 THEN 'anno ' || year(o_orderdate) ELSE day(o_orderdate) || '/' || month(o_orderdate) || '/' || strftime(o_orderdate, '%y') END", "CAST(year(o_orderdate) AS INTEGER)")
+_over("q43d_latest_date", "D4: the latest that isn't in the future.", "orders", "o_orderkey", lambda: _c("dal ", F.date_format("o_orderdate", "d/M/yyyy"), " al ", F.date_format(F.date_add("o_orderdate", 30), "dd/MM/yyyy"), ", 01/01/2099"), lambda c: dates.latest_date_in(c, F.lit("2025-06-30").cast("date")),
+  "'dal ' || day(o_orderdate) || '/' || month(o_orderdate) || '/' || year(o_orderdate) || ' al ' || strftime(CAST(o_orderdate AS DATE) + 30, '%d/%m/%Y') || ', 01/01/2099'", "CAST(o_orderdate AS DATE) + 30")
+_over("q43e_monthly_key", "D7.", "nation", "n_nationkey", lambda: _c("terna_2024_", F.lpad((F.col("n_nationkey") % 12 + 1).cast("string"), 2, "0"), "_", F.lower("n_name")), lambda c: F.concat_ws(";", *(x.cast("string") for x in dates.monthly_key(c))),
+  "'terna_2024_' || lpad(CAST(n_nationkey % 12 + 1 AS VARCHAR), 2, '0') || '_' || lower(n_name)", "'terna_' || lower(n_name) || ';2024;' || (n_nationkey % 12 + 1)")
+_over("q25b_specific_urls", "X10: parameters, numbers at the end, and lists.", "pages", "page_id", lambda: F.when(F.col("page_id") % 3 == 0, _c("https://www.x.it/a//b/?Id=", F.col("page_id"), "&utm=1")).when(F.col("page_id") % 3 == 1, _c("http://x.it/p/progetto-", F.col("page_id") + 100000)).otherwise(_c("http://x.it/ricerca/elenco", F.col("page_id") + 10000)), urls.specific_key,
+  "CASE page_id % 3 WHEN 0 THEN 'https://www.x.it/a//b/?Id=' || page_id || '&utm=1' WHEN 1 THEN 'http://x.it/p/progetto-' || (page_id + 100000) ELSE 'http://x.it/ricerca/elenco' || (page_id + 10000) END", "CASE page_id % 3 WHEN 0 THEN 'x.it/a/b?id=' || page_id WHEN 1 THEN 'x.it/p/progetto-' || (page_id + 100000) ELSE '' END")
+_over("q25c_safe_urls", "F24.", "pages", "page_id", lambda: F.when(F.col("page_id") % 4 == 0, _c("javascript:alert(", F.col("page_id"), ")")).when(F.col("page_id") % 4 == 1, _c("ftp://x/", F.col("page_id"))).otherwise(_c(" ", F.col("url"))), urls.safe_url,
+  "CASE page_id % 4 WHEN 0 THEN 'javascript:alert(' || page_id || ')' WHEN 1 THEN 'ftp://x/' || page_id ELSE ' ' || url END", "CASE WHEN page_id % 4 >= 2 THEN url ELSE '' END")
+_over("q25d_rewritten_urls", "X20.", "pages", "page_id", lambda: F.when(F.col("page_id") % 2 == 0, _c("https://x.it/avvisiPubblici?id=", F.col("page_id"))).otherwise(F.col("url")), lambda c: urls.rewrite(c, urls.NOTICE_RULES), "CASE WHEN page_id % 2 = 0 THEN 'https://x.it/avvisiPubblici?id=' || page_id ELSE url END",
+  "CASE WHEN page_id % 2 = 0 THEN 'https://x.it/avvisiPubblici/' || page_id ELSE url END")
+_MARKETS = ("terna;", "Terna Econnextion;", "lazio;rete esterna ", "x;Terna Econnextion ")
+_over("q44_is_aggregate", "F11, T10.", "part", "p_partkey", lambda: _c(_pick(F.col("p_partkey"), *_MARKETS), F.col("p_name")), lambda c: is_aggregate(F.substring_index(c, ";", 1), F.substring_index(c, ";", -1), F.lit("")), f"{_sql_pick('p_partkey', *_MARKETS)} || p_name", "lower(raw) LIKE '%terna;%' OR lower(raw) LIKE '%terna econnextion%'")
 
 
 @R.query("""SELECT o_orderkey, round(o_totalprice, 2) AS italian, round(o_totalprice / 1000, 3) AS mw FROM orders""")

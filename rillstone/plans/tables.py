@@ -259,13 +259,14 @@ def q22d_insert_if_absent(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.insert_if_absent(old, rows.where("n_nationkey >= 15").select(F.col("n_name").alias("name"), F.lit("new").alias("origin")), "name")
 
 
-@R.query("""SELECT s_suppkey, coalesce(min(a.c_custkey), min(b.c_custkey), min(c.c_custkey)) AS c_custkey, CASE WHEN min(a.c_custkey) IS NOT NULL THEN 1 WHEN min(b.c_custkey) IS NOT NULL THEN 2 WHEN min(c.c_custkey) IS NOT NULL THEN 3 END AS step
-FROM (SELECT *, s_suppkey + 1400 AS k FROM supplier) s LEFT JOIN customer a ON a.c_custkey = s.k AND a.c_nationkey = s_nationkey LEFT JOIN customer b ON b.c_custkey = s.k LEFT JOIN customer c ON c.c_nationkey = s_nationkey GROUP BY s_suppkey""")
+@R.query("""WITH s AS (SELECT *, s_suppkey + 1400 AS k FROM supplier), a AS (SELECT s_suppkey, min(c_custkey) AS v FROM s JOIN customer ON c_custkey = k AND c_nationkey = s_nationkey GROUP BY s_suppkey HAVING count(*) = 1),
+b AS (SELECT s_suppkey, min(c_custkey) AS v FROM s JOIN customer ON c_custkey = k GROUP BY s_suppkey HAVING count(*) = 1), c AS (SELECT s_suppkey, min(c_custkey) AS v FROM s JOIN customer ON c_nationkey = s_nationkey AND c_custkey % 25 = s_suppkey % 25 GROUP BY s_suppkey HAVING count(*) = 1)
+SELECT s_suppkey, coalesce(a.v, b.v, c.v) AS c_custkey, CASE WHEN a.v IS NOT NULL THEN 1 WHEN b.v IS NOT NULL THEN 2 WHEN c.v IS NOT NULL THEN 3 END AS step FROM s LEFT JOIN a USING (s_suppkey) LEFT JOIN b USING (s_suppkey) LEFT JOIN c USING (s_suppkey)""")
 def q22e_ladder_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The first step of several equalities that finds something."""
-    left = table(spark, sf_dir, "supplier").withColumn("k", F.col("s_suppkey") + 1400)
-    right = table(spark, sf_dir, "customer").withColumn("id", F.col("c_custkey"))
-    steps = [[("k", "id"), ("s_nationkey", "c_nationkey")], [("k", "id")], [("s_nationkey", "c_nationkey")]]
+    """The first step of several equalities that finds one row; several are none."""
+    left = table(spark, sf_dir, "supplier").withColumns({"k": F.col("s_suppkey") + 1400, "rest": F.col("s_suppkey") % 25})
+    right = table(spark, sf_dir, "customer").withColumns({"id": F.col("c_custkey"), "rest": F.col("c_custkey") % 25})
+    steps = [[("k", "id"), ("s_nationkey", "c_nationkey")], [("k", "id")], [("s_nationkey", "c_nationkey"), ("rest", "rest")]]
     return rules.ladder_join(left, right, "s_suppkey", steps, "c_custkey")
 
 

@@ -98,13 +98,65 @@ def test_repairs_see_earlier_repairs(spark):
     assert quality.repair(fixed)[1].count() == 0
 
 
-def test_rules_by_containment_are_bounded(spark, monkeypatch):
-    df = spark.createDataFrame([(1, "a", "u")], "id int, t string, u string")
-    table = spark.createDataFrame([(1, "title_contains_all", ["a"], None, "exclude", {}, "r")], "seq int, match_kind string, match_value array<string>, expected_matches long, action string, fields map<string,string>, reason string")
-    assert rules.apply_overrides(df, table, "id", "t", "u", ())[0].count() == 0
-    monkeypatch.setattr(rules, "MAX_CONTAINMENT_RULES", 0)
-    with pytest.raises(ValueError, match="containment"):
-        rules.matching_rules(df, table, "id", "t", "u")
+RULES = "seq int, match_kind string, match_value array<string>, expected_matches long, action string, fields map<string,string>, reason string"
+
+
+def test_rules_by_containment_equal_brute_force(spark):
+    rng = random.Random(2)
+    words = ["parco", "solare", "sole", "nord", "troia", "lucera", "agri", "voltaico", "agrivoltaico"]
+    rows = [(i, " ".join(rng.choice(words) for _ in range(rng.randint(0, 6))), f"x.it/{rng.choice(words)}/p?id={i % 30}") for i in range(120)]
+    table = [(1000 + k, "url_contains", [rng.choice(words)[1:], f"id={k}"], None, "exclude", {}, "r") for k in range(20)]
+    table += [(k, "title_contains_all", [" ".join(rng.choice(words) for _ in range(rng.randint(1, 2)))[rng.randint(0, 2) :] for _ in range(rng.randint(1, 3))], None, "exclude", {}, "r") for k in range(300)]
+    want = {(i, r[0]) for i, t, u in rows for r in table if (any(v in u for v in r[2]) if r[1] == "url_contains" else all(v in t for v in r[2]))}
+    found = rules.matching_rules(spark.createDataFrame(rows, "id int, t string, u string"), spark.createDataFrame(table, RULES), "id", "t", "u").collect()
+    assert len(found) == len({(r.id, r.seq) for r in found}) and {(r.id, r.seq) for r in found} == want
+
+
+def test_rules_with_facts_and_power(spark):
+    df = spark.createDataFrame([(1, "parco", "u", "Piemonte", 5.0), (2, "parco", "u", "Lazio", 5.0), (3, "parco", "u", "PIEMONTE", 7.0)], "id int, t string, u string, source string, mw double")
+    table = spark.createDataFrame([(1, "title_contains_all", ["parco"], {"source": "piemonte"}, 5.001), (2, "url_eq", ["u"], None, None)], "seq int, match_kind string, match_value array<string>, where map<string,string>, power_mw double")
+    assert {(r.id, r.seq) for r in rules.matching_rules(df, table, "id", "t", "u", ["source"], "mw").collect()} == {(1, 1), (1, 2), (2, 2), (3, 2)}
+
+
+def test_similarity_query_equals_difflib_over_all_pairs(spark, sf_dir):
+    from difflib import SequenceMatcher
+
+    from rillstone.plans import entities
+
+    parts = spark.read.parquet(f"{sf_dir}/part.parquet").collect()
+    title = {r.p_partkey: f"{r.p_name} {r.p_type} {r.p_size}".lower() for r in parts}
+    block = {}
+    for r in parts:
+        block.setdefault((r.p_brand, r.p_name.split()[0]), []).append(r.p_partkey)
+    want = {}
+    for members in block.values():
+        if 2 <= len(members) <= dedupe.MAX_BLOCK:
+            for i, a in enumerate(sorted(members)):
+                for b in sorted(members)[i + 1 :]:
+                    x, y = title[a], title[b]
+                    if 2 * min(len(x), len(y)) / (len(x) + len(y)) >= 0.75:
+                        want[a, b] = round(SequenceMatcher(None, x, y).ratio(), 4)
+    found = {(r.idx_a, r.idx_b): r.similarity for r in entities.q38_similarity(spark, sf_dir).collect()}
+    assert found.keys() == want.keys() and all(abs(found[k] - want[k]) < 1e-3 for k in want)
+
+
+def test_publish_checks(spark, tmp_path):
+    from rillstone.operators import publish
+
+    (tmp_path / "data.json").write_text('{"a": 1}')
+    (tmp_path / "bad.json").write_text("{a")
+    (tmp_path / "index.html").write_text("x" * 2_000_000)
+    (tmp_path / "mobile.html").write_text("x")
+    rows = {r.check: r.passed for r in publish.publish_checks(spark, str(tmp_path), ["data.json", "README.md"], most_mb=1).collect()}
+    assert rows == {"present: data.json": True, "present: README.md": False, "valid JSON: data.json": True, "valid JSON: bad.json": False, "size: index.html": False, "size: mobile.html": True}
+
+
+def test_staged_records(spark):
+    from rillstone.operators import publish
+
+    staged = spark.createDataFrame([(" Parco ", None, " PZ", "", "http://s", ["Melfi ", ""], None, "PAUR", None, None)], "title string, proponent string, province string, url string, source_url string, municipalities array<string>, project_type string, procedure string, status string, updated_at string")
+    r = publish.staged_basilicata(staged, F.lit("2024-03-01 10:00:00").cast("timestamp")).first()
+    assert (r.title, r.province, r.url, r.municipalities, r.project_type, r.status, r.updated_at, r.source) == ("Parco", "PZ", "http://s", "Melfi", "PAUR", "PAUR", "2024-03-01T10:00:00", "Basilicata")
 
 
 def test_value_after_label_stops_at_a_label(spark):
