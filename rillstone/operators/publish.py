@@ -99,7 +99,7 @@ def staged_basilicata(records: DataFrame, as_of: Column) -> DataFrame:
     blank = lambda x: F.coalesce(F.trim(x), F.lit(""))
     return records.select(
         name.alias("source"), name.alias("source_label"), name.alias("source_group"), F.array(name).alias("merged_sources"), name.alias("region"),
-        F.array_join(F.filter(F.transform("municipalities", F.trim), lambda x: x != ""), ", ").alias("municipalities"), *(blank(c(f)).alias(f) for f in ("province", "proponent", "title")),
+        F.array_join(F.filter(F.transform("municipalities", lambda x: F.trim(x)), lambda x: x != ""), ", ").alias("municipalities"), *(blank(c(f)).alias(f) for f in ("province", "proponent", "title")),
         F.coalesce(text.null_if_blank(c("url")), blank(c("source_url"))).alias("url"), F.lit(False).alias("is_terna"), F.lit(True).alias("is_punctual"), F.lit(0).alias("numero_pratiche"),
         F.lit(False).alias("province_deduced"), F.lit(False).alias("municipalities_deduced"), text.first_present(c("project_type"), c("procedure"), F.lit("Basilicata VIA/Screening")).alias("project_type"),
         F.coalesce("status", "procedure", F.lit("")).alias("status"), F.coalesce(text.null_if_blank(c("updated_at")), F.date_format(as_of, "yyyy-MM-dd'T'HH:mm:ss")).alias("updated_at"),

@@ -8,8 +8,8 @@ beside this one.
 
 from __future__ import annotations
 
-from rillstone.plans import entities, marts, records, scalars, tables
+from rillstone.plans import entities, landed, marts, records, scalars, tables
 
 FLAGSHIP = "q01_region_rollup"
-QUERIES = {**marts.QUERIES, **tables.QUERIES, **entities.QUERIES, **scalars.QUERIES, **records.QUERIES}
-ORACLES = {**marts.ORACLES, **tables.ORACLES, **entities.ORACLES, **scalars.ORACLES, **records.ORACLES}
+QUERIES = {**marts.QUERIES, **tables.QUERIES, **entities.QUERIES, **scalars.QUERIES, **records.QUERIES, **landed.QUERIES}
+ORACLES = {**marts.ORACLES, **tables.ORACLES, **entities.ORACLES, **scalars.ORACLES, **records.ORACLES, **landed.ORACLES}

@@ -116,7 +116,8 @@ def _parse(landed: DataFrame, spec: Spec) -> DataFrame:
         get = lambda names: text.first_present(*(F.try_element_at("__r", F.lit(n)) for n in names))
         return each.select((F.col("row_idx") * 1_000_000 + F.col("__at")).alias("row_idx"), "source_url", *((get(spec.labels[f]) if f in spec.labels else null).alias(f) for f in FIELDS))
     lines = F.col("page.lines")
-    find = lambda names: text.first_present(*(value_in_lines(lines, [n]) for n in names))
+    every = tuple(dict.fromkeys(n for names in spec.labels.values() for n in names))
+    find = lambda names: text.first_present(*(value_in_lines(lines, [n], others=every) for n in names))
     named = pages.select("row_idx", F.col("url").alias("source_url"), F.col("page.title").alias("__title"), F.concat_ws(" ", "page.title", lines).alias("page_text"), *((find(spec.labels[f]) if f in spec.labels else null).alias(f) for f in FIELDS))
     return named.withColumn("title", text.first_present(F.col("title"), F.col("__title"))).drop("__title")
 

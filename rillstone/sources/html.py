@@ -127,14 +127,15 @@ def parsed(pages: DataFrame, html: str = "html", url: str = "url") -> DataFrame:
     return pages.withColumn("page", page(F.col(html), F.col(url)))
 
 
-def value_in_lines(lines: Column, labels: list[str], reach: int = 4) -> Column:
-    """What follows the first label, in its line after a colon, or in one of the next lines that isn't a label; null without."""
+def value_in_lines(lines: Column, labels: list[str], reach: int = 4, others: tuple[str, ...] = ()) -> Column:
+    """What follows the first label, in its line after a colon, or in the next line if that isn't a label, or one of others, too; null without."""
     names = [" ".join(x.lower().split()) for x in labels]
     keys = F.transform(lines, lambda x: F.rtrim(key_words(x)))
     is_label = lambda k: k.isin(*names)
     at = F.array_position(F.transform(keys, is_label), True)
     after = F.slice(lines, at.cast("int") + 1, F.lit(reach))
-    stop = F.array_position(F.transform(F.slice(keys, at.cast("int") + 1, F.lit(reach)), is_label), True)
+    any_label = rf"(?i)\A\s*(?:{'|'.join(re.escape(x) for x in (*labels, *others))})\s*(?::.*)?\z"
+    stop = F.array_position(F.transform(after, lambda x: F.rlike(x, F.lit(any_label)) | is_label(F.rtrim(key_words(x)))), True)
     upto = F.when(stop > 0, F.slice(after, F.lit(1), stop.cast("int") - 1)).otherwise(after)
     same_line = F.get(F.filter(F.transform(lines, lambda x: F.regexp_extract(x, rf"(?i)\A\s*(?:{'|'.join(map(re.escape, labels))})\s*:\s*(\S.*)\z", 1)), lambda x: x != ""), F.lit(0))
     return F.coalesce(same_line, F.when(at > 0, F.get(upto, F.lit(0))))

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import html
 import json
 from collections.abc import Sequence
+from email.message import EmailMessage
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -85,6 +87,50 @@ def markdown_table(df: DataFrame, n: int = 50) -> str:
     return "\n".join(["| " + " | ".join(r) + " |" for r in [df.columns, ["---"] * len(df.columns), *rows]])
 
 
+def html_table(df: DataFrame, n: int = 500) -> str:
+    """The first n rows as a table of a page, every value escaped."""
+    from rillstone.functions.text import escape_html
+
+    rows = df.select(*(escape_html(F.coalesce(F.col(c).cast("string"), F.lit(""))).alias(c) for c in df.columns)).limit(n).collect()
+    line = lambda cells, tag: "<tr>" + "".join(f"<{tag}>{x}</{tag}>" for x in cells) + "</tr>"
+    return "<table>\n" + "\n".join([line([html.escape(c) for c in df.columns], "th"), *(line(r, "td") for r in rows)]) + "\n</table>"
+
+
+#: A page that shows a document's records: what page_with_data() fills.
+PAGE = """<!doctype html>
+<html><head><meta charset="utf-8"><title>Records</title></head><body><input id="q" placeholder="search"><table id="t"></table>
+<script>const data = /*DATA*/{}/*END*/;
+const rows = data.records || [], names = rows.length ? Object.keys(rows[0]) : [], table = document.getElementById("t"), box = document.getElementById("q");
+function show() {
+  const q = box.value.toLowerCase();
+  table.replaceChildren();
+  for (const r of [names].concat(rows.filter(r => JSON.stringify(r).toLowerCase().includes(q)).map(r => names.map(n => r[n])))) {
+    const tr = table.insertRow();
+    for (const x of r) tr.insertCell().textContent = x ?? "";
+  }
+}
+box.oninput = show; show();
+</script></body></html>
+"""
+
+
+def dashboard(parts: dict[str, DataFrame | dict]) -> str:
+    """K8: a page of its own with a document's data inside."""
+    return page_with_data(PAGE, document(parts))
+
+
+def message(sender: str, to: Sequence[str], subject: str, body: str, page: str | None = None, attachments: dict[str, bytes] | None = None) -> bytes:
+    """A message as it would be sent: the text, the same as a page, and files. Sending is left to the caller."""
+    mail = EmailMessage()
+    mail["From"], mail["To"], mail["Subject"] = sender, ", ".join(to), subject
+    mail.set_content(body)
+    if page:
+        mail.add_alternative(page, subtype="html")
+    for name, content in (attachments or {}).items():
+        mail.add_attachment(content, maintype="application", subtype="octet-stream", filename=name)
+    return mail.as_bytes()
+
+
 def append_audit(audit: DataFrame, path: str, run: Column) -> None:
     """Audit or rejected rows, by run."""
     audit.withColumn("run", run).write.mode("append").partitionBy("run").parquet(path)

@@ -109,3 +109,19 @@ def test_sinks(spark, tmp_path):
     sinks.append_audit(df, f"file://{tmp_path}/audit", F.lit("r1"))
     sinks.append_audit(df, f"file://{tmp_path}/audit", F.lit("r2"))
     assert spark.read.parquet(f"file://{tmp_path}/audit").groupBy("run").count().count() == 2
+
+
+def test_pages_tables_and_messages(spark):
+    import email.policy
+    import json
+
+    from rillstone.sources import sinks
+
+    df = spark.createDataFrame([("a<b>", 1.5), (None, None)], "name string, mw double")
+    assert sinks.html_table(df).splitlines()[1:3] == ["<tr><th>name</th><th>mw</th></tr>", "<tr><td>a&lt;b&gt;</td><td>1.5</td></tr>"]
+    page = sinks.dashboard({"records": df, "summary": {"n": "</script>"}})
+    data = page.split("/*DATA*/")[1].split("/*END*/")[0]
+    assert "</script>" not in data and json.loads(data)["records"][0] == {"name": "a<b>", "mw": 1.5}
+    mail = email.message_from_bytes(sinks.message("a@x", ["b@y", "c@z"], "Changes", sinks.mail_body(1, 0, 2, ["- Parco è"]), "<p>Parco</p>", {"diff.csv": b"k;v"}), policy=email.policy.default)
+    assert mail["To"] == "b@y, c@z" and "Parco è" in mail.get_body(("plain",)).get_content() and "<p>Parco</p>" in mail.get_body(("html",)).get_content()
+    assert [(x.get_filename(), x.get_content()) for x in mail.iter_attachments()] == [("diff.csv", b"k;v")]
