@@ -46,7 +46,7 @@ def settled(c: Column) -> Column:
 
 def is_blank(c: Column) -> Column:
     """Null, or white space alone."""
-    return c.isNull() | (F.trim(F.regexp_replace(c.cast("string"), _SPACES, " ")) == "")
+    return F.coalesce(F.trim(F.regexp_replace(c.cast("string"), _SPACES, " ")), F.lit("")) == ""
 
 
 def null_if_blank(c: Column) -> Column:

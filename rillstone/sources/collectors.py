@@ -117,8 +117,11 @@ def _parse(landed: DataFrame, spec: Spec) -> DataFrame:
         return each.select((F.col("row_idx") * 1_000_000 + F.col("__at")).alias("row_idx"), "source_url", *((get(spec.labels[f]) if f in spec.labels else null).alias(f) for f in FIELDS))
     lines = F.col("page.lines")
     every = tuple(dict.fromkeys(n for names in spec.labels.values() for n in names))
-    find = lambda names: text.first_present(*(value_in_lines(lines, [n], others=every) for n in names))
-    named = pages.select("row_idx", F.col("url").alias("source_url"), F.col("page.title").alias("__title"), F.concat_ws(" ", "page.title", lines).alias("page_text"), *((find(spec.labels[f]) if f in spec.labels else null).alias(f) for f in FIELDS))
+    # what follows each label is a column of its own before the fields choose, so its expression is written out once
+    at = {n: f"__label{i}" for i, n in enumerate(every)}
+    told = pages.select("row_idx", F.col("url").alias("source_url"), F.col("page.title").alias("__title"), F.concat_ws(" ", "page.title", lines).alias("page_text"), *(value_in_lines(lines, [n], others=every).alias(c) for n, c in at.items()))
+    find = lambda names: text.first_present(*(F.col(at[n]) for n in names))
+    named = told.select("row_idx", "source_url", "__title", "page_text", *((find(spec.labels[f]) if f in spec.labels else null).alias(f) for f in FIELDS))
     return named.withColumn("title", text.first_present(F.col("title"), F.col("__title"))).drop("__title")
 
 
@@ -175,7 +178,8 @@ def collect(landed: DataFrame, spec: Spec, as_of: Column | None = None) -> tuple
     codes = geo.title_province_codes(c("title"))
     given, _ = geo.deduced(geo.province(c("province")), F.get(codes, F.lit(0)))
     towns = F.when(c("municipality").isNotNull(), text.split_list(c("municipality"))).otherwise(geo.municipalities(c("title")))
-    df = df.withColumns({"province_code": given, "municipalities": towns, "municipality": F.coalesce("municipality", F.nullif(F.array_join(towns, ", "), F.lit("")))})
+    df = df.withColumns({"province_code": given, "municipalities": towns})
+    df = df.withColumn("municipality", F.coalesce("municipality", F.nullif(F.array_join("municipalities", ", "), F.lit(""))))
     own = F.regexp_extract(F.coalesce("source_url", F.lit("")), r"(?:Info/|[?&]id=|/)([0-9]{2,})/?\z", 1)
     described = text.slug(F.concat_ws(" ", "title", "proponent", "source_url"))
     key = F.when(own != "", F.concat(F.lit(spec.id_prefix or f"{spec.name}_"), own, F.when(F.lit(spec.parser in ("table", "script")), F.concat(F.lit("_"), text.short_hash(c("title"), 8))).otherwise(F.lit("")))).otherwise(F.concat(F.lit(f"{spec.name}_"), described))
