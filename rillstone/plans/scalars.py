@@ -47,8 +47,13 @@ def _sql_it(x: str, n: int) -> str:
     return f"translate(format('{{:,.{n}f}}', {x}), ',.', '.,')"
 
 
+def _round(c: Column, n: int) -> Column:
+    """As SQL rounds a double: the double itself times a power of ten, not its shortest decimal, in which 136.295 is a tie."""
+    return F.round(c * 10**n) / 10**n
 
-_over("q24_power", "N3: prices written as kilowatts in the Italian way, and as megawatts.", "orders", "o_orderkey", lambda: F.when(F.col("o_orderkey") % 2 == 0, _c(_it(F.col("o_totalprice"), 2), " kWp")).otherwise(_c("MW ", F.replace(F.format_string("%.2f", F.round(F.col("o_totalprice") / 1000, 2)), F.lit("."), F.lit(",")))),
+
+
+_over("q24_power", "N3: prices written as kilowatts in the Italian way, and as megawatts.", "orders", "o_orderkey", lambda: F.when(F.col("o_orderkey") % 2 == 0, _c(_it(F.col("o_totalprice"), 2), " kWp")).otherwise(_c("MW ", F.replace(F.format_string("%.2f", _round(F.col("o_totalprice") / 1000, 2)), F.lit("."), F.lit(",")))),
   numbers.parse_power, f"CASE WHEN o_orderkey % 2 = 0 THEN {_sql_it('o_totalprice', 2)} || ' kWp' ELSE 'MW ' || replace(format('{{:.2f}}', round(o_totalprice / 1000, 2)), '.', ',') END",
   "CASE WHEN o_orderkey % 2 = 0 THEN round(round(o_totalprice, 2) / 1000, 6) ELSE round(o_totalprice / 1000, 2) END")
 _over("q24b_power_in_text", "N2.", "part", "p_partkey", lambda: F.when(F.col("p_partkey") % 3 == 0, _c("Impianto della potenza di ", F.col("p_size"), ",5 MW")).when(F.col("p_partkey") % 3 == 1, _c("da ", F.col("p_size"), "00 kW e altro")).otherwise(_c("MW: ", F.col("p_size") + 2000)),
